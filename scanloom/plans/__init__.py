@@ -1 +1,10 @@
+"""Registered queries over the given tables."""
 
+import importlib
+
+MODULES = ["queries_scan_route"]
+
+
+def load_all() -> None:
+    for name in MODULES:
+        importlib.import_module(f"scanloom.plans.{name}")
