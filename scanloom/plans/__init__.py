@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["queries_scan_route"]
+MODULES = ["queries_scan_route", "queries_deid", "queries_results"]
 
 
 def load_all() -> None:
