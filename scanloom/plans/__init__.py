@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ["queries_scan_route", "queries_deid", "queries_results"]
+MODULES = ["queries_scan_route", "queries_deid", "queries_results", "queries_flows"]
 
 
 def load_all() -> None:

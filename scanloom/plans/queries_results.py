@@ -148,10 +148,10 @@ def _(t):
     return keyed.first_row_per_key(t("pseudonyms"), ["pid"], ["id"]).select("pid", "prefix", "id")
 
 
-@query("g5_sorted_names", "SELECT lang, md5(string_agg(CAST(doc_id AS STRING), ',' ORDER BY CAST(doc_id AS STRING))) AS names FROM documents WHERE length(text) > 0 GROUP BY lang")
+@query("g5_sorted_names", "SELECT package, count(*) AS entry_count, sha256(string_agg(entry_name, chr(10) ORDER BY entry_name)) AS names_sha256 FROM package_expected GROUP BY package")
 def _(t):
-    d = t("documents").filter(F.length("text") > 0).select("lang", F.col("doc_id").cast("string").alias("name"))
-    return d.groupBy("lang").agg(F.md5(F.array_join(F.array_sort(F.collect_list("name")), ",")).alias("names"))
+    # A limit of 50 sends the larger packages through the incremental path over a spilled sort.
+    return packages.entry_name_digest(t("package_expected"), ["package"], in_memory=50)
 
 
 @query("g6_first_twenty", "SELECT package, string_agg(entry_name, ',' ORDER BY entry_name) AS names FROM (SELECT *, row_number() OVER (PARTITION BY package ORDER BY entry_name) AS r FROM package_expected) WHERE r <= 20 GROUP BY package")
