@@ -24,7 +24,7 @@ from scanloom.streaming import flows
 
 _SEGS = "SELECT msg_id, unnest(s) AS seg, unnest(range(1, len(s) + 1)) AS seg_no FROM (SELECT msg_id, list_filter(string_split(raw, chr(13)), lambda x: x <> '') AS s FROM adt)"
 _FIELDS = f"""SELECT msg_id, seg_no, segment, unnest(f) AS fv, unnest(range(0, len(f))) AS field FROM (SELECT msg_id, seg_no, split_part(seg, '|', 1) AS segment,
-  CASE WHEN seg LIKE 'MSH|%' THEN list_concat(['MSH', '|'], list_slice(string_split(seg, '|'), 2, NULL)) ELSE string_split(seg, '|') END AS f FROM ({_SEGS}))"""
+  CASE WHEN seg LIKE 'MSH|%' THEN list_concat(['MSH', '|'], (string_split(seg, '|'))[2:]) ELSE string_split(seg, '|') END AS f FROM ({_SEGS}))"""
 _LIT = "segment = 'MSH' AND field IN (1, 2)"
 
 
@@ -315,7 +315,7 @@ _FRAGMENTS = "SELECT CAST(conv_id AS STRING) AS grp, turn, count(*) OVER (PARTIT
 def _(stream, t, folder):
     extra = F.when(F.col("conv_id") % 3 == 0, 1).otherwise(0)
     counts = t("conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select("conv_id", (F.col("n") + extra).cast("int").alias("fragment_count"))
-    fragments = stream("conversations").join(counts, "conv_id").select(F.col("conv_id").cast("string").alias("fragment_identifier"), F.col("turn").cast("int").alias("fragment_index"), "fragment_count")
+    fragments = stream("conversations").join(counts, "conv_id").select(F.col("conv_id").cast("string").alias("fragment_identifier"), F.col("turn").cast("int").alias("fragment_index"), "fragment_count", F.lit("2024-01-01").cast("timestamp").alias("received_at"))
     shards = _drained(flows.defragment(fragments, 600_000), folder)
     return flows.group_states(shards).select(F.col("group").alias("fragment_group"), "fragment_count", "state")
 

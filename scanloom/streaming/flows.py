@@ -67,13 +67,17 @@ def _collect_shard(max_age_ms: int):
         def row(status, arrived):
             return pd.DataFrame({"group": [group], "shard": [shard], "fragment_count": [count], "status": [status], "arrived": [arrived]})
 
-        now = state.getCurrentProcessingTimeMs()
-        since, arrived, status = state.get if state.exists else (now, [], "open")
         if state.hasTimedOut:
+            since, arrived, _ = state.get
             state.update((since, [], "expired"))
             yield row("incomplete", len(arrived))
             return
-        seen = {int(i) for batch in batches for i in batch["fragment_index"]}
+        seen, first = set(), None
+        for batch in batches:
+            seen.update(int(i) for i in batch["fragment_index"])
+            start = int(batch["received_at"].min().timestamp() * 1000)
+            first = start if first is None else min(first, start)
+        since, arrived, status = state.get if state.exists else (first, [], "open")
         if status == "expired":
             state.update((since, [], status))
             yield row("late", len(seen))
@@ -84,22 +88,24 @@ def _collect_shard(max_age_ms: int):
                 yield row("complete", expected)
             else:
                 state.update((since, sorted(seen), "open"))
-                state.setTimeoutDuration(max(1, since + max_age_ms - now))
+                state.setTimeoutTimestamp(max(since + max_age_ms, state.getCurrentWatermarkMs() + 1))
 
     return run
 
 
-def defragment(fragments: DataFrame, max_age_ms: int, group: str = "fragment_identifier") -> DataFrame:
+def defragment(fragments: DataFrame, max_age_ms: int, group: str = "fragment_identifier", time: str = "received_at", delay: str = "1 minute") -> DataFrame:
     """Shard states of fragment groups: complete, incomplete after ``max_age_ms``, or late.
 
     A group is cut into up to 64 shards by fragment index, and the index range tells each shard how
-    many fragments to expect. So even a very large group never sits in one task's state.
+    many fragments to expect. So even a very large group never sits in one task's state. Age is
+    counted from the first arrival in arrival time, so a replay gives the same result.
     :func:`group_states` folds the shard rows into one state per group.
     """
     shard = F.pmod(F.col("fragment_index"), F.lit(SHARDS)).alias("shard")
-    keyed = fragments.select(F.col(group).alias("group"), shard, "fragment_count", "fragment_index")
+    keyed = (fragments.withColumn("received_at", F.col(time).cast("timestamp")).withWatermark("received_at", delay)
+             .select(F.col(group).alias("group"), shard, "fragment_count", "fragment_index", "received_at"))
     return keyed.groupBy("group", "shard", "fragment_count").applyInPandasWithState(
-        _collect_shard(max_age_ms), SHARD_OUTPUT, FRAGMENT_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+        _collect_shard(max_age_ms), SHARD_OUTPUT, FRAGMENT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def group_states(shards: DataFrame) -> DataFrame:
