@@ -91,10 +91,12 @@ class ActionPlan:
 
         cases = [f"WHEN {member(a)} THEN '{a}'" for a in ("XZD" if self.profile.retain_uids else "XZDU")]
         if self.rules:
-            rule = "|".join(f"(?:{r})" for r in A.REMOVAL_RULES)
+            # One anchored and one free pattern: the anchored one gives up after the first character.
+            starts, contains = ("|".join(f"(?:{r})" for r in rules) for rules in (A.REMOVAL_STARTS, A.REMOVAL_CONTAINS))
+            ruled = f"({keyword} RLIKE r'^(?:{starts})' OR {keyword} RLIKE r'{contains}')"
             dates = "false" if self.profile.dates == "full" else f"(NOT {shifting} AND {vr} IN ({_quoted(A.TEMPORAL_VRS)}))"
             cases.append(f"WHEN {keyword} IN ({_quoted(self.named)}) THEN NULL")
-            cases.append(f"WHEN {keyword} RLIKE r'{rule}' OR ({keyword} IS NOT NULL AND {dates}) THEN 'X'")
+            cases.append(f"WHEN ({keyword} IS NOT NULL AND {dates}) OR {ruled} THEN 'X'")
         return f"CASE {' '.join(cases)} END"
 
 
@@ -219,7 +221,8 @@ def method_codes(profile: Profile, shifting: Column) -> list[tuple[str, Column]]
 def generated_rows(header: DataFrame, profile: Profile, issuer: str | None) -> DataFrame:
     """Marker, identity and correction rows of each instance, built from the header alone.
 
-    ``header`` may carry pseudonym_pid and pseudonym_name; without them PatientID and PatientName
+    A stored instance index can serve as header, so elements need no second scan. ``header`` may
+    carry pseudonym_pid and pseudonym_name; without them PatientID and PatientName
     stay as the rules left them (or take the hash option).
     """
     shifting = profile.shifting(F.col("days"))
@@ -233,7 +236,8 @@ def generated_rows(header: DataFrame, profile: Profile, issuer: str | None) -> D
         pid = F.coalesce(pid, F.when(F.col("patient_id").isNotNull(), name_uuid(source)))
     longitudinal = F.lit("UNMODIFIED") if profile.dates == "full" else F.when(shifting, "MODIFIED").otherwise("REMOVED")
     codes = method_codes(profile, shifting)
-    item, code_rows = F.coalesce(F.col("method_items"), F.lit(0)), []
+    item = F.coalesce(F.col("method_items"), F.lit(0)) if "method_items" in header.columns else F.lit(0)
+    code_rows = []
     for code, applies in codes:
         code_rows += [F.when(applies, r) for r in _code_rows(code, item)]
         item = item + applies.cast("int")

@@ -19,20 +19,41 @@ def derive(name: str, sql: str, spark_sql: str | None = None) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name in DERIVED:
-        return spark.sql(_located(DERIVED[name][1], sf_dir))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name not in DERIVED:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    sql, bases = _inlined(DERIVED[name][1])
+    frames = {b: spark.read.parquet(f"{sf_dir}/{b}.parquet") for b in bases}
+    if name in WIDE:
+        frames = {b: _spread(df) for b, df in frames.items()}
+    return spark.sql(sql, **frames)
 
 
-def _located(sql: str, sf_dir: str) -> str:
-    """Put file paths (or, for derived tables, their text) in place of table names after FROM/JOIN."""
+# Derived tables whose rows take much work; tiny inputs in one file would keep one core busy.
+WIDE = ("elements", "orm", "adt")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Spread an input with far fewer partitions than cores; large inputs are left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+
+
+def _inlined(sql: str) -> tuple[str, set[str]]:
+    """Text with derived tables inlined and given tables as ``{name}``, and the given names."""
+    bases: set[str] = set()
+
     def place(match: re.Match) -> str:
         name = match.group(2)
         if name in DERIVED:
-            return f"{match.group(1)} ({_located(DERIVED[name][1], sf_dir)}) AS {name}"
-        return f"{match.group(1)} parquet.`{sf_dir}/{name}.parquet` AS {name}" if name in TABLES else match.group(0)
-
-    return re.sub(r"\b(FROM|JOIN)\s+([a-z_]+)\b", place, sql)
+            inner, used = _inlined(DERIVED[name][1])
+            bases.update(used)
+            return f"{match.group(1)} ({inner}) AS {name}"
+        if name not in TABLES:
+            return match.group(0)
+        bases.add(name)
+        return f"{match.group(1)} {{{name}}} AS {name}"
+
+    return re.sub(r"\b(FROM|JOIN)\s+([a-z_]+)\b", place, sql), bases
 
 
 def _with_derived(sql: str) -> str:
