@@ -113,19 +113,26 @@ def dummy_value(vr: Column) -> Column:
     return F.coalesce(V.pick(vr, DUMMIES), F.when(~vr.isin(BINARY_VRS), "REMOVED"))
 
 
+HEADER_KEYWORDS = {"SOPClassUID": "sop_class_uid", "StudyInstanceUID": "study_uid", "SeriesInstanceUID": "series_uid", "PatientID": "patient_id",
+                   "IssuerOfPatientID": "issuer_of_patient_id", "Modality": "modality"}
+
+
 def header_of(elements: DataFrame) -> DataFrame:
-    """One row per instance: the root attributes that whole-instance rules look at."""
+    """One row per instance: the root attributes that whole-instance rules look at.
+
+    Only the rows of those attributes are grouped (the keyword filter reaches the scan), a handful
+    per instance instead of hundreds; its first row (``ord`` 0) keeps an instance without any.
+    """
     root = F.size("item_path") == 0
+    in_methods = (F.size("item_path") == 1) & (F.get("item_path", F.lit(0))["keyword"] == "DeidentificationMethodCodeSequence") & (F.col("keyword") == "CodeValue")
+    wanted = F.coalesce(F.col("keyword").isin(*HEADER_KEYWORDS, "SOPInstanceUID", "CodeValue") & (root | in_methods), F.lit(False))
+    rows = elements.filter(wanted | (F.col("ord") == 0))
 
     def value(keyword):
-        return F.max(F.when(root & (F.col("keyword") == keyword), F.get("values", F.lit(0)))).alias
+        return F.max(F.when(root & (F.col("keyword") == keyword), F.get("values", F.lit(0))))
 
-    methods = F.when((F.size("item_path") == 1) & (F.get("item_path", F.lit(0))["keyword"] == "DeidentificationMethodCodeSequence"),
-                     F.get("item_path", F.lit(0))["item"] + 1)
-    return elements.groupBy("sop_instance_uid").agg(
-        value("SOPClassUID")("sop_class_uid"), value("StudyInstanceUID")("study_uid"), value("SeriesInstanceUID")("series_uid"),
-        value("PatientID")("patient_id"), value("IssuerOfPatientID")("issuer_of_patient_id"), value("Modality")("modality"),
-        F.coalesce(F.max(methods), F.lit(0)).alias("method_items"))
+    methods = F.max(F.when(in_methods, F.get("item_path", F.lit(0))["item"] + 1))
+    return rows.groupBy("sop_instance_uid").agg(*[value(k).alias(c) for k, c in HEADER_KEYWORDS.items()], F.coalesce(methods, F.lit(0)).alias("method_items"))
 
 
 def retained_keywords(retain: str | None, known: list[str] | None = None) -> list[str]:
@@ -163,7 +170,9 @@ def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain
     facts = header.select("sop_instance_uid", F.col("days").alias("_days"),
                           F.coalesce(F.col("sop_class_uid") == V.PET_IMAGE, F.lit(False)).alias("_pet"),
                           (F.col("study_uid").isNotNull() & F.col("series_uid").isNotNull()).alias("_placed"))
-    rows = elements.join(facts, "sop_instance_uid").withColumn("_shifting", plan.profile.shifting(F.col("_days")))
+    # Merge join: elements must never be chosen for a broadcast by a low size estimate, and
+    # tables bucketed and sorted by instance need neither shuffle nor sort here.
+    rows = elements.hint("merge").join(facts, "sop_instance_uid").withColumn("_shifting", plan.profile.shifting(F.col("_days")))
     names = _quoted(retain) or "''"
 
     # The outermost sequence with a rule decides: removed with its subtree, or retained whole.

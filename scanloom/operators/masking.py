@@ -118,7 +118,7 @@ def mark_clean_pixels(elements: DataFrame, masked: DataFrame) -> DataFrame:
     state = items.groupBy("sop_instance_uid").agg(
         F.max(F.coalesce((F.col("code") == CLEAN_CODE) & (F.col("scheme") == "DCM"), F.lit(False))).alias("_marked"), (F.max("item") + 1).alias("_item"))
     todo = masked.select("sop_instance_uid").distinct().withColumn("_todo", F.lit(True))
-    kept = (elements.join(todo, "sop_instance_uid", "left")
+    kept = (elements.hint("merge").join(todo, "sop_instance_uid", "left")
             .filter(F.col("_todo").isNull() | ~((F.size("item_path") == 0) & F.col("tag").isin("00280301", METHODS[0]))).select(*ELEMENT_COLUMNS))
     path = F.array(F.struct(F.lit(METHODS[0]).alias("tag"), F.lit(METHODS[1]).alias("keyword"), F.coalesce("_item", F.lit(0)).alias("item"))).cast(ITEM_PATH)
     root = F.array().cast(ITEM_PATH)

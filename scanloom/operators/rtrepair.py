@@ -34,7 +34,7 @@ def reference_routes(elements: DataFrame) -> DataFrame:
 def _with_reference(elements: DataFrame, targets: DataFrame) -> DataFrame:
     """Replace the nested series UID of the instances in ``targets(sop_instance_uid, _new)``."""
     path = F.array(*[F.struct(F.lit(t).alias("tag"), F.lit(k).alias("keyword"), F.lit(0).alias("item")) for t, k in REFERENCE_PATH]).cast(ITEM_PATH)
-    kept = elements.filter(~(_at_path() & (F.col("tag") == SERIES_TAG))).join(targets.select("sop_instance_uid"), "sop_instance_uid", "left_semi")
+    kept = elements.filter(~(_at_path() & (F.col("tag") == SERIES_TAG))).hint("merge").join(targets.select("sop_instance_uid"), "sop_instance_uid", "left_semi")
     rows = targets.select("sop_instance_uid", path.alias("item_path"), F.lit(SERIES_TAG).alias("tag"), F.lit("SeriesInstanceUID").alias("keyword"), F.lit("UI").alias("vr"),
                           F.lit(None).cast("string").alias("private_creator"), F.array("_new").alias("values"), F.lit(None).cast("binary").alias("bin"), F.lit(0).alias("ord"))
     return kept.select(*ELEMENT_COLUMNS).unionByName(rows)
