@@ -79,10 +79,8 @@ def test_json_rows_and_sinks(spark, tmp_path):
 
 
 @pytest.fixture
-def checkpoints(spark, tmp_path):
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path / "cp"))
-    yield
-    spark.conf.unset("spark.checkpoint.dir")
+def checkpoints(monkeypatch, tmp_path):
+    monkeypatch.setattr(flows, "checkpoint_root", lambda spark: str(tmp_path / "cp"))
 
 
 def test_defragment_complete_incomplete_late(spark, tmp_path, checkpoints):
