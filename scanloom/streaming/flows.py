@@ -13,7 +13,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from scanloom.operators.events import event_batches
 from scanloom.session import checkpoint_root
 
-SHARDS = 64
+SHARD_SIZE = 5000
 
 
 def _checkpoint(df: DataFrame, name: str) -> str:
@@ -55,64 +55,74 @@ def with_final_state(instances: DataFrame, retrievals: DataFrame, keys: list[str
     return instances.join(retrievals.select(*keys, F.col("status").alias("retrieve_status")), keys, "left")
 
 
-FRAGMENT_STATE = "since bigint, arrived array<int>, status string"
-SHARD_OUTPUT = "group string, shard int, fragment_count int, status string, arrived int"
+FRAGMENT_STATE = "since bigint, until bigint, arrived array<int>, status string"
+SHARD_OUTPUT = "group string, shard int, fragment_count int, status string, arrived int, since bigint, until bigint"
 
 
-def _collect_shard(max_age_ms: int):
+def _collect_shard(max_age_ms: int, shard_size: int):
     def run(key, batches: Iterator[pd.DataFrame], state: GroupState):
         group, shard, count = key
-        expected = (count - shard + SHARDS - 1) // SHARDS
+        shards = max(1, -(-count // shard_size))
+        expected = (count - shard + shards - 1) // shards
 
-        def row(status, arrived):
-            return pd.DataFrame({"group": [group], "shard": [shard], "fragment_count": [count], "status": [status], "arrived": [arrived]})
+        def row(status, arrived, since, until):
+            return pd.DataFrame({"group": [group], "shard": [shard], "fragment_count": [count], "status": [status], "arrived": [arrived], "since": [since], "until": [until]})
 
         if state.hasTimedOut:
-            since, arrived, _ = state.get
-            state.update((since, [], "expired"))
-            yield row("incomplete", len(arrived))
+            since, until, arrived, _ = state.get
+            state.update((since, until, [], "expired"))
+            yield row("incomplete", len(arrived), since, until)
             return
-        seen, first = set(), None
+        seen, times = set(), []
         for batch in batches:
             seen.update(int(i) for i in batch["fragment_index"])
-            start = int(batch["received_at"].min().timestamp() * 1000)
-            first = start if first is None else min(first, start)
-        since, arrived, status = state.get if state.exists else (first, [], "open")
+            times += [int(batch["received_at"].min().timestamp() * 1000), int(batch["received_at"].max().timestamp() * 1000)]
+        since, until, arrived, status = state.get if state.exists else (min(times), max(times), [], "open")
+        until = max(until, *times)
         if status == "expired":
-            state.update((since, [], status))
-            yield row("late", len(seen))
+            state.update((since, until, [], status))
+            yield row("late", len(seen), since, until)
         elif status == "open":
             seen |= set(arrived)
             if len(seen) == expected:
-                state.update((since, [], "complete"))
-                yield row("complete", expected)
+                state.update((since, until, [], "complete"))
+                yield row("complete", expected, since, until)
             else:
-                state.update((since, sorted(seen), "open"))
+                state.update((since, until, sorted(seen), "open"))
                 state.setTimeoutTimestamp(max(since + max_age_ms, state.getCurrentWatermarkMs() + 1))
 
     return run
 
 
-def defragment(fragments: DataFrame, max_age_ms: int, group: str = "fragment_identifier", time: str = "received_at", delay: str = "1 minute") -> DataFrame:
+def defragment(fragments: DataFrame, max_age_ms: int, group: str = "fragment_identifier", time: str = "received_at", delay: str = "1 minute",
+               shard_size: int = SHARD_SIZE) -> DataFrame:
     """Shard states of fragment groups: complete, incomplete after ``max_age_ms``, or late.
 
-    A group is cut into up to 64 shards by fragment index, and the index range tells each shard how
-    many fragments to expect. So even a very large group never sits in one task's state. Age is
+    A group is cut by fragment index into shards of about ``shard_size`` fragments; the index range tells a
+    shard how many to expect, so even a very large group never sits in one task's state. Age is
     counted from the first arrival in arrival time, so a replay gives the same result.
     :func:`group_states` folds the shard rows into one state per group.
     """
-    shard = F.pmod(F.col("fragment_index"), F.lit(SHARDS)).alias("shard")
+    shards = F.greatest(F.lit(1), F.ceil(F.col("fragment_count") / shard_size).cast("int"))
+    shard = F.pmod(F.col("fragment_index"), shards).alias("shard")
     keyed = (fragments.withColumn("received_at", F.col(time).cast("timestamp")).withWatermark("received_at", delay)
              .select(F.col(group).alias("group"), shard, "fragment_count", "fragment_index", "received_at"))
     return keyed.groupBy("group", "shard", "fragment_count").applyInPandasWithState(
-        _collect_shard(max_age_ms), SHARD_OUTPUT, FRAGMENT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
+        _collect_shard(max_age_ms, shard_size), SHARD_OUTPUT, FRAGMENT_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def group_states(shards: DataFrame) -> DataFrame:
-    """Complete when every shard is; ZIP_INCOMPLETE when a shard expired; open otherwise."""
-    needed = F.least(F.col("fragment_count"), F.lit(SHARDS))
+def group_states(shards: DataFrame, max_age_ms: int | None = None, as_of_ms: int | None = None, shard_size: int = SHARD_SIZE) -> DataFrame:
+    """COMPLETE when every shard is, within the age; ZIP_INCOMPLETE when a shard expired, the
+    shards took longer than the age together, or ``as_of_ms`` lies beyond it; OPEN otherwise."""
+    needed = F.greatest(F.lit(1), F.ceil(F.col("fragment_count") / shard_size))
     out = shards.groupBy("group", "fragment_count").agg(
         F.count_if(F.col("status") == "complete").alias("_done"), F.count_if(F.col("status") == "incomplete").alias("_expired"),
+        F.min("since").alias("_since"), F.max(F.when(F.col("status") == "complete", F.col("until"))).alias("_until"),
         F.coalesce(F.sum(F.when(F.col("status") == "late", F.col("arrived"))), F.lit(0)).alias("late_fragments"))
-    state = F.when(F.col("_done") == needed, "COMPLETE").when(F.col("_expired") > 0, "ZIP_INCOMPLETE").otherwise("OPEN")
-    return out.withColumn("state", state).drop("_done", "_expired")
+    done, overdue = F.col("_done") == needed, F.col("_expired") > 0
+    if max_age_ms is not None:
+        overdue = overdue | F.coalesce(F.col("_until") - F.col("_since") > max_age_ms, F.lit(False))
+        if as_of_ms is not None:
+            overdue = overdue | (~done & (F.lit(as_of_ms) - F.col("_since") > max_age_ms))
+    state = F.when(overdue, "ZIP_INCOMPLETE").when(done, "COMPLETE").otherwise("OPEN")
+    return out.withColumn("state", state).drop("_done", "_expired", "_since", "_until")

@@ -90,15 +90,17 @@ def test_defragment_complete_incomplete_late(spark, tmp_path, checkpoints):
     def arrive(*rows):
         data = [(g, i, n, dt.datetime(2024, 1, 1, h)) for g, i, n, h in rows]
         spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(source))
-        flows.ingest(flows.defragment(spark.readStream.schema(schema).parquet(str(source)), 3_600_000), target, "defrag").awaitTermination()
+        flows.ingest(flows.defragment(spark.readStream.schema(schema).parquet(str(source)), 3_600_000, shard_size=50), target, "defrag").awaitTermination()
 
-    arrive(("a", 0, 2, 0), ("b", 0, 3, 0))
-    arrive(("a", 1, 2, 0), ("b", 1, 3, 0), ("c", 0, 1, 12))
+    arrive(("a", 0, 2, 0), ("b", 0, 3, 0), ("half", 0, 200, 0))
+    arrive(("a", 1, 2, 0), ("b", 1, 3, 0), ("c", 0, 1, 12), *[("half", i * 4 + 1, 200, 0) for i in range(50)])
     arrive(("d", 0, 1, 13))
-    arrive(("b", 2, 3, 14), ("big", 0, 200, 14), *[("big", i, 200, 14) for i in range(1, 200)])
-    states = {r["group"]: r for r in flows.group_states(spark.read.parquet(target)).collect()}
-    assert states["a"]["state"] == "COMPLETE" and states["c"]["state"] == "COMPLETE" and states["big"]["state"] == "COMPLETE"
-    assert states["b"]["state"] != "COMPLETE"
+    arrive(("b", 2, 3, 14), *[("big", i, 200, 14) for i in range(200)])
+    shards = spark.read.parquet(target)
+    got = {r["group"]: r for r in flows.group_states(shards, 3_600_000, 1704117600000, 50).collect()}
+    assert {g: got[g]["state"] for g in ("a", "b", "c", "big", "half")} == {
+        "a": "COMPLETE", "b": "ZIP_INCOMPLETE", "c": "COMPLETE", "big": "COMPLETE", "half": "ZIP_INCOMPLETE"}
+    assert got["b"]["late_fragments"] == 1 and shards.filter("group = 'big'").count() == 4
 
 
 def test_idempotent_stream(spark, tmp_path, checkpoints):
