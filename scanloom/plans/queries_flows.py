@@ -47,7 +47,7 @@ _ADT_FAC = "CASE WHEN c_nationkey = 3 THEN '' ELSE '<MSH.4><HD.1>F' || CAST(c_na
 _ADT_EVENT = "CASE WHEN msg_id % 3 = 0 THEN 'A01' ELSE 'A04' END"
 _ADT_XML = f"""'<ADT_' || {_ADT_EVENT} || ' xmlns="urn:hl7-org:v2xml"><MSH><MSH.1>|</MSH.1><MSH.2>^~' || chr(92) || '&amp;</MSH.2><MSH.3><HD.1>HIS</HD.1></MSH.3>' || {_ADT_FAC} || '<MSH.5><HD.1>RIS</HD.1></MSH.5><MSH.6><HD.1>' || c_mktsegment
   || '</HD.1></MSH.6><MSH.7><TS.1>20200101000000</TS.1></MSH.7><MSH.9><CM_MSG.1>ADT</CM_MSG.1><CM_MSG.2>' || {_ADT_EVENT} || '</CM_MSG.2></MSH.9><MSH.10>C' || CAST(msg_id AS STRING) || '</MSH.10><MSH.11><PT.1>P</PT.1></MSH.11><MSH.12>'
-  || CASE WHEN msg_id % 2 = 0 THEN '2.3' ELSE '2.5' END || '</MSH.12></MSH><EVN><EVN.1>A04</EVN.1><EVN.2><TS.1>20010101000000</TS.1></EVN.2><EVN.5><CN.2>KOOPA</CN.2><CN.3>BOWSER</CN.3></EVN.5></EVN><PID><PID.1>1</PID.1><PID.3><CX.1>'
+  || CASE WHEN msg_id % 2 = 0 THEN '2.3' ELSE '2.5' END || '</MSH.12></MSH><EVN><EVN.1>A04</EVN.1><EVN.2><TS.1>20010101000000</TS.1></EVN.2><EVN.5><CN.2>KIM</CN.2><CN.3>JO</CN.3></EVN.5></EVN><PID><PID.1>1</PID.1><PID.3><CX.1>'
   || CAST(msg_id AS STRING) || '</CX.1><CX.4><HD.1>HD</HD.1></CX.4></PID.3><PID.3><CX.1>X' || CAST(c_nationkey AS STRING) || '</CX.1></PID.3><PID.5><XPN.1>' || split_part(c_name, '#', 1) || '</XPN.1><XPN.2>' || split_part(c_name, '#', 2)
   || '</XPN.2><XPN.3>A&amp;B</XPN.3></PID.5></PID></ADT_' || {_ADT_EVENT} || '>'"""
 
@@ -317,7 +317,10 @@ def _(stream, t, folder):
     counts = t("conversations").groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).select("conv_id", (F.col("n") + extra).cast("int").alias("fragment_count"))
     fragments = stream("conversations").join(counts, "conv_id").select(F.col("conv_id").cast("string").alias("fragment_identifier"), F.col("turn").cast("int").alias("fragment_index"), "fragment_count", F.lit("2024-01-01").cast("timestamp").alias("received_at"))
     shards = _drained(flows.defragment(fragments, 600_000), folder)
-    return flows.group_states(shards).select(F.col("group").alias("fragment_group"), "fragment_count", "state")
+    # A group whose shards have not finished has no state row yet.
+    states = flows.group_states(shards).select(F.col("group").alias("fragment_group"), "state")
+    groups = counts.select(F.col("conv_id").cast("string").alias("fragment_group"), "fragment_count")
+    return groups.join(states, "fragment_group", "left").withColumn("state", F.coalesce("state", F.lit("OPEN")))
 
 
 @stream_query("m4_event_batches_on_a_stream", """SELECT user_id AS order_id, batch_no, count(*) AS event_count FROM (SELECT CAST(user_id AS STRING) AS user_id, (row_number() OVER (PARTITION BY user_id ORDER BY md5(CAST(event_id AS STRING))) - 1) // 50 AS batch_no FROM events) GROUP BY 1, 2""")

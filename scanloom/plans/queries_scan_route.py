@@ -341,7 +341,7 @@ def _(t):
 
 
 @query("c9_field_replacement", """SELECT msg_id, CASE WHEN msg_id % 3 <> 0 AND msg_id % 2 = 0 THEN 'success' ELSE 'failure' END AS route,
-  CASE WHEN msg_id % 3 <> 0 AND msg_id % 2 = 0 THEN replace(raw, 'EVN|A04|20010101000000|||^KOOPA', 'EVN|A04|20250108000000|20250116000000||^KOOPA') ELSE raw END AS raw FROM adt""")
+  CASE WHEN msg_id % 3 <> 0 AND msg_id % 2 = 0 THEN replace(raw, 'EVN|A04|20010101000000|||^KIM', 'EVN|A04|20250108000000|20250116000000||^KIM') ELSE raw END AS raw FROM adt""")
 def _(t):
     return hl7.planned_event(t("adt"), "20250116000000", "20250108000000").select("msg_id", "route", "raw")
 

@@ -14,7 +14,7 @@ SAMPLE = [
     ((), "0020000E", "SeriesInstanceUID", "UI", ["1.2.3.4.5"]),
     ((), "00080018", "SOPInstanceUID", "UI", ["1.2.3.4.5.6"]),
     ((), "00100020", "PatientID", "LO", ["0001234567"]),
-    ((), "00100010", "PatientName", "PN", ["Muster^Hans"]),
+    ((), "00100010", "PatientName", "PN", ["Roe^Pat"]),
     ((), "00100030", "PatientBirthDate", "DA", ["19700615"]),
     ((), "00101010", "PatientAge", "AS", ["049Y"]),
     ((), "00080020", "StudyDate", "DA", ["20200101"]),
@@ -100,8 +100,8 @@ def test_basic_profile_actions(spark):
     rows = [
         ((), "0040A120", "DateTime", "DT", ["20240101120000"]),
         ((), "04000100", "DigitalSignatureUID", "UI", ["1.2.3.4.5"]),
-        ((), "30100080", "PrescriptionNotesSequence", "SQ", []), ((notes,), "00080104", "CodeMeaning", "LO", ["Meier"]),
-        ((), "00700001", "GraphicAnnotationSequence", "SQ", []), ((graphic,), "00700006", "UnformattedTextValue", "ST", ["Meier"]),
+        ((), "30100080", "PrescriptionNotesSequence", "SQ", []), ((notes,), "00080104", "CodeMeaning", "LO", ["Miller"]),
+        ((), "00700001", "GraphicAnnotationSequence", "SQ", []), ((graphic,), "00700006", "UnformattedTextValue", "ST", ["Miller"]),
         ((), "00420011", "EncapsulatedDocument", "OB", []), ((), "0072006D", "SelectorUNValue", "UN", []),
         ((), "00090010", None, "LO", ["TEST"]), ((), "60003000", "OverlayData", "OW", []),
         ((), "00080008", "ImageType", "CS", ["A", "B"]),
@@ -111,7 +111,7 @@ def test_basic_profile_actions(spark):
     assert value(r, "DigitalSignatureUID")[0] not in (None, "1.2.3.4.5")
     assert value(r, "PrescriptionNotesSequence") == []
     assert value(r, "GraphicAnnotationSequence") is None
-    assert not any("Meier" in (x["values"] or []) for x in out)
+    assert not any("Miller" in (x["values"] or []) for x in out)
     for k in ("EncapsulatedDocument", "SelectorUNValue"):
         assert bytes(r[((), k)]["bin"]) == bytes(8)
     assert not any(x["tag"] in ("00090010", "60003000") for x in out)
