@@ -19,7 +19,7 @@ from scanloom.functions import vocabulary as V
 from scanloom.functions.dates import MAX_DAYS, shifted_values
 from scanloom.functions.identifiers import name_uuid, remap_uid, remap_uids
 from scanloom.functions.text import blank_to_null, col, first_error, is_blank
-from scanloom.operators.keyed import bounded_rows, first_row_per_key, lookup_join
+from scanloom.operators.keyed import bounded_rows, first_row_per_key, lookup_join, small_join
 
 ITEM_PATH = "array<struct<tag:string,keyword:string,item:int>>"
 ELEMENT_SCHEMA = (
@@ -153,12 +153,12 @@ def join_actions(elements: DataFrame, actions: DataFrame) -> DataFrame:
     """Left join of elements with an action table on the keyword (X before Z, D, U)."""
     one = (actions.withColumn("_p", F.instr(F.lit("XZDU"), F.col("action"))).groupBy("keyword")
            .agg(F.min_by("action", "_p").alias("action")))
-    return elements.join(one, "keyword", "left")
+    return small_join(elements, one, ["keyword"], "sop_instance_uid")
 
 
 def join_dictionary(elements: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Attach tag and VR by keyword; an unknown keyword drops out."""
-    return elements.join(dictionary, "keyword", "inner")
+    return small_join(elements, dictionary, ["keyword"], "sop_instance_uid", "inner")
 
 
 def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain: list[str] | None = None) -> DataFrame:

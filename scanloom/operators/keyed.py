@@ -24,6 +24,14 @@ def lookup_join(left: DataFrame, right: DataFrame, on: list[str], spread: Column
     return slotted.join(offered, [*on, "_slot"], how).drop("_slot")
 
 
+def small_join(left: DataFrame, right: DataFrame, on: list[str], spread: ColumnOrName, how: str = "left", limit: int = 10_000) -> DataFrame:
+    """Join a wide left side with a rule table: broadcast when a count proves the table small,
+    the salted join otherwise. A broadcast leaves the left rows (pixels, attributes) in place."""
+    if right.limit(limit + 1).count() <= limit:
+        return left.join(F.broadcast(right), on, how)
+    return lookup_join(left, right, on, spread, how)
+
+
 def first_row_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key, the smallest in ``order``.
 

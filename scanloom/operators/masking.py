@@ -19,6 +19,7 @@ from scanloom.functions import vocabulary as V
 from scanloom.functions.pixels import compression_ratio, lossy_method, mask_value
 from scanloom.functions.text import first_error
 from scanloom.operators.deid import ELEMENT_COLUMNS, ITEM_PATH
+from scanloom.operators.keyed import small_join
 from scanloom.operators.routing import FAILURE, SUCCESS
 
 FRAME_SCHEMA = ("sop_instance_uid string, frame_no int, rows int, columns int, samples int, bits_allocated int, planar int, photometric string, "
@@ -90,7 +91,8 @@ def mask_frames(frames: DataFrame, regions: Column, colour: Column | int = 0, co
 
     ``regions``: array of (x, y, width, height), a constant or a per-row column. ``colour_aware``
     converts the colour to the frame's space. ``whole_objects``: one bad frame fails its object,
-    so a partly masked object never counts as masked (this groups frame headers, never pixels).
+    so a partly masked object never counts as masked. That joins frames by instance: keep them in a
+    table bucketed by ``sop_instance_uid``, or pass False where every frame stands for itself.
     """
     c = colour if isinstance(colour, Column) else F.lit(colour)
     value = mask_value(c, "samples", "photometric") if colour_aware else c
@@ -105,8 +107,8 @@ def mask_frames(frames: DataFrame, regions: Column, colour: Column | int = 0, co
 
 
 def join_regions(frames: DataFrame, rules: DataFrame, keys: list[str]) -> DataFrame:
-    """Attach the regions of a rule (by SOP class, device, …) to every frame."""
-    return frames.join(rules, keys, "left")
+    """Attach the regions of a rule (by SOP class, device, …) to every frame; pixels stay in place."""
+    return small_join(frames, rules, keys, F.concat_ws(":", "sop_instance_uid", F.col("frame_no").cast("string")))
 
 
 def mark_clean_pixels(elements: DataFrame, masked: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from scanloom.functions.text import (
     DIRECTORY_PATTERN, FOLDER_PATTERN, SHA256_PATTERN, UUID_PATTERN, first_error, full_match, is_blank, json_error, path_segment_ok, truncated)
-from scanloom.operators.keyed import numbered, smallest_per_group
+from scanloom.operators.keyed import lookup_join, numbered, smallest_per_group
 from scanloom.operators.routing import FAILURE, SUCCESS
 
 FRAGMENT_INVALID, VALIDATION_FAILED = "ZIP_FRAGMENT_INVALID", "ZIP_VALIDATION_FAILED"
@@ -102,7 +102,7 @@ def entry_name_digest(entries: DataFrame, keys: list[str], name: str = "entry_na
     """
     names = entries.select(*keys, name).filter(F.col(name).isNotNull()).distinct()
     sizes = names.groupBy(*keys).agg(F.count(F.lit(1)).alias("entry_count"))
-    sized = names.join(sizes, keys)
+    sized = lookup_join(names, sizes, keys, name, "inner")
     small = (sized.filter(F.col("entry_count") <= in_memory).groupBy(*keys, "entry_count")
              .agg(F.sha2(F.array_join(F.array_sort(F.collect_list(name)), "\n"), 256).alias("names_sha256")))
     fields = [f for f in entries.select(*keys).schema.fields]
