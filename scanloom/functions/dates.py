@@ -28,19 +28,23 @@ def _shift(text: Column, days: Column, date_time: Column) -> Column:
         no_end = (F.size(z) > 1) & (F.element_at(z, -1)["was"] == "") & (F.get(z, F.size(z) - 2)["was"] == "")
         return F.when(lost | no_end, "").otherwise(F.array_join(F.transform(z, lambda p: p["now"]), "-"))
 
-    shifted = let(parts, combine)
     tail = F.when(date_time, F.substring(text, 9, 2147483647)).otherwise("")
-    return F.coalesce(let(shifted, lambda s: F.when(s == "", "").otherwise(F.concat(s, tail))), F.lit(""))
+    general = let(let(parts, combine), lambda s: F.when(s == "", "").otherwise(F.concat(s, tail)))
+    # The usual plain date needs no lambda and stays inside code generation.
+    iso = F.concat(F.substring(head, 1, 4), F.lit("-"), F.substring(head, 5, 2), F.lit("-"), F.substring(head, 7, 2))
+    plain = F.translate(F.date_add(iso.try_cast("date"), days).cast("string"), "-", "")
+    usual = F.when(F.length(plain) == 8, F.concat(plain, tail))
+    return F.coalesce(F.when(head.rlike(r"\A[0-9]{8}\z"), usual).otherwise(general), F.lit(""))
 
 
 def shift_da(value: ColumnOrName, days: int | Column) -> Column:
     """Shift one DA value or range (open ends kept); '' when it cannot be shifted to the day."""
-    return let(trimmed(value), lambda t: _shift(t, lit_or_col(days), F.lit(False)))
+    return _shift(trimmed(value), lit_or_col(days), F.lit(False))
 
 
 def shift_dt(value: ColumnOrName, days: int | Column) -> Column:
     """Shift the first eight characters of a DT value, keep the tail verbatim; '' when impossible."""
-    return let(trimmed(value), lambda t: _shift(t, lit_or_col(days), F.lit(True)))
+    return _shift(trimmed(value), lit_or_col(days), F.lit(True))
 
 
 def shift_in_range(days: ColumnOrName) -> Column:
