@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import uuid
 
-import pyarrow as pa
 from pyspark.sql import functions as F
 
 from scanloom.functions import vocabulary as V
@@ -78,12 +76,7 @@ SELECT sop_instance_uid AS path, tag, value, o_orderkey % 17 <> 0 AS readable FR
   SELECT *, unnest(['00080016', '00080018', '00100020', '0020000D', '0020000E']) AS tag, unnest([sop_class_uid, sop_instance_uid, nullif(patient_id, ''), study_uid, series_uid]) AS value FROM inst WHERE o_orderkey % 17 <> 0)
 UNION ALL SELECT sop_instance_uid, NULL, NULL, false FROM inst WHERE o_orderkey % 17 = 0""")
 def _(t):
-    def scan(batches):
-        for batch in batches:
-            for path, content in zip(batch.column("sop_instance_uid").to_pylist(), batch.column("content").to_pylist()):
-                yield pa.RecordBatch.from_pylist(headerfiles.read_head(io.BytesIO(content), path, {}), schema=headerfiles.ARROW)
-
-    rows = _encoded_files(t("inst")).mapInArrow(scan, headerfiles.SCHEMA)
+    rows = headerfiles.heads_of(_encoded_files(t("inst")), "sop_instance_uid")
     return rows.select("path", "tag", F.get("values", F.lit(0)).alias("value"), "readable")
 
 
