@@ -11,7 +11,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
 
 import __spark_entry__ as entry  # noqa: E402
 from check_oracle import compare  # noqa: E402
-from scanloom.plans.registry import TABLES  # noqa: E402
+from scanloom.plans.registry import ORACLE, QUERIES, TABLES  # noqa: E402
 
 
 @pytest.fixture(scope="module")
@@ -22,11 +22,12 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    text, _, good = compare(spark, con, SF, name, entry.queries()[name], entry.oracle_sql().get(name))
+    text, _, good = compare(spark, con, SF, name, QUERIES[name], ORACLE.get(name))
     assert good, text
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
