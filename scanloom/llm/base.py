@@ -72,19 +72,21 @@ def pieces(batch: pa.RecordBatch, column: int, most: int = BLOCK_BYTES) -> Itera
             yield batch.slice(start, end - start)
 
 
-def map_texts(df: DataFrame, text_col: str, carry: Sequence[str], fields: Sequence[T.StructField], make: Callable[[], Callable[[list], list]], most: int = BLOCK_BYTES) -> DataFrame:
+def map_texts(df: DataFrame, text_col: str, carry: Sequence[str], fields: Sequence[T.StructField], make: Callable[[], Callable[..., list]], most: int = BLOCK_BYTES, also: Sequence[str] = ()) -> DataFrame:
     """Arrow map over blocks of texts: ``make()`` runs once in a task and gives a function from a list of texts
-    (None for null) to one Arrow array per field; columns ``carry`` pass through."""
-    source = df.select(*carry, F.col(text_col).cast("string").alias("text" if "text" not in carry else "text_"))
+    (None for null), and one list for each column in ``also``, to one Arrow array per field. Columns ``carry``
+    pass through; all other columns are dropped."""
+    n, m = len(carry), len(carry) + len(also)
+    source = df.select(*carry, *also, F.col(text_col).cast("string").alias(fresh(df, "_text")[0]))
     schema = T.StructType([*(source.schema[c] for c in carry), *fields])
-    n = len(carry)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for piece in pieces(batch, n, most):
+            for piece in pieces(batch, m, most):
                 columns = [piece.column(i) for i in range(n)]
-                yield pa.RecordBatch.from_arrays([*columns, *work(piece.column(n).to_pylist())], names=[f.name for f in schema])
+                given = [piece.column(i).to_pylist() for i in (m, *range(n, m))]
+                yield pa.RecordBatch.from_arrays([*columns, *work(*given)], names=[f.name for f in schema])
 
     return source.mapInArrow(run, schema)
 

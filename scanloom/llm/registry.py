@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe
+from scanloom.llm import bpe, lines
 
 QUERIES = {
+    "op2_line_dedup": lines.op2,
     "op4_bpe": bpe.op4,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_line_dedup": lines.OP2_SQL,
+}
