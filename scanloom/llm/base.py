@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -77,7 +78,10 @@ def map_texts(df: DataFrame, text_col: str, carry: Sequence[str], fields: Sequen
     (None for null), and one list for each column in ``also``, to one Arrow array per field. Columns ``carry``
     pass through; all other columns are dropped."""
     n, m = len(carry), len(carry) + len(also)
-    source = df.select(*carry, *also, F.col(text_col).cast("string").alias(fresh(df, "_text")[0]))
+    source = df.select(*carry, *also, *([] if text_col in carry else [text_col]))
+    if text_col in carry:
+        m = list(carry).index(text_col)
+    given_at = range(n, n + len(also))
     schema = T.StructType([*(source.schema[c] for c in carry), *fields])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +89,7 @@ def map_texts(df: DataFrame, text_col: str, carry: Sequence[str], fields: Sequen
         for batch in batches:
             for piece in pieces(batch, m, most):
                 columns = [piece.column(i) for i in range(n)]
-                given = [piece.column(i).to_pylist() for i in (m, *range(n, m))]
+                given = [piece.column(i).to_pylist() for i in (m, *given_at)]
                 yield pa.RecordBatch.from_arrays([*columns, *work(*given)], names=[f.name for f in schema])
 
     return source.mapInArrow(run, schema)
@@ -127,15 +131,36 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: i
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def sigmoid(x: float) -> float:
+    return 1 / (1 + math.exp(-x)) if x > -700 else 0.0
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int = 12) -> tuple[np.ndarray, float]:
+    """Weights and bias of a ridge logistic regression by Newton steps."""
+    design = np.column_stack([x, np.ones(len(x))])
+    penalty = np.full(design.shape[1], ridge)
+    penalty[-1] = 1e-3
+    w = np.zeros(design.shape[1])
+    for _ in range(rounds):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        slope = design.T @ (p - y) + penalty * w
+        curve = (design * (p * (1 - p))[:, None]).T @ design + np.diag(penalty)
+        step = np.linalg.solve(curve, slope)
+        w -= step
+        if np.abs(step).max() < 1e-4:
+            break
+    return w[:-1], float(w[-1])
+
+
 class Words:
     """Words of a block of texts: ``starts``/``ends`` in ``data`` (bytes), ``doc`` of each word, ``first`` word of each text."""
 
-    def __init__(self, texts: list, lower: bool = False):
+    def __init__(self, texts: list, lower: bool = False, between: np.ndarray = _BLANK):
         raw = [(t or "").encode("utf-8") for t in texts]
         joined = b"\n".join([*raw, b""])
         self.data = joined.translate(LOWERED) if lower else joined
         codes = np.frombuffer(self.data, np.uint8)
-        blank = _BLANK[codes] if len(codes) else np.zeros(0, bool)
+        blank = between[codes] if len(codes) else np.zeros(0, bool)
         edge = np.flatnonzero(np.diff(np.concatenate(([True], blank, [True])).astype(np.int8)))
         self.starts, self.ends = edge[0::2], edge[1::2]
         self.codes = codes

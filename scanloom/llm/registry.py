@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, lines
+from scanloom.llm import bpe, lines, toxicity
 
 QUERIES = {
     "op2_line_dedup": lines.op2,
     "op4_bpe": bpe.op4,
+    "op8_toxicity": toxicity.op8,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.OP2_SQL,
