@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 from scanloom.llm.base import Words, crc_fold, documents, fresh, logistic, map_texts, sigmoid
 
 # Parameters of the fit. The sample of labelled rows is bounded by SAMPLE_ROWS.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 5_000
 FEATURES = 300
 LEAST_DOCS = 5
 
