@@ -10,98 +10,170 @@ from __future__ import annotations
 
 import base64
 import heapq
-from bisect import bisect_right
+import re
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import BLOCK_BYTES, map_texts
+from scanloom.llm.base import BLOCK_BYTES, lists, map_texts
 
 KEPT_WORDS = 200_000
 
 
+# Fixed value: the pre-token pattern of the byte-level vocabularies, and the same for Python's own engine, which is
+# faster and differs from it only on the characters that ``differing`` gives.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+QUICK = r" ?[^\W\d_]+| ?\d+|'(?:[stmd]|re|ve|ll)| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+
+
+def differing() -> str:
+    """Characters that the two engines put into different classes."""
+    import regex
+
+    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
+    classes = ((r"\p{L}", r"[^\W\d_]"), (r"\p{N}", r"\d"), (r"\s", r"\s"))
+    return "".join(sorted(set().union(*(set(regex.findall(a, every)) ^ set(re.findall(b, every)) for a, b in classes))))
+
+
+def splitter(pattern: str, odd: str):
+    """Function from a text to its matches of the pattern."""
+    import regex
+
+    exact = regex.compile(pattern).findall
+    if pattern != PATTERN:
+        return exact
+    quick, rare, control = re.compile(QUICK).findall, set(odd), [c for c in odd if c.isascii()]
+
+    def split(text: str) -> list[str]:
+        same = not any(c in text for c in control) if text.isascii() else rare.isdisjoint(text)
+        return quick(text) if same else exact(text)
+
+    return split
+
+
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate(([True], x[1:] != x[:-1]))] if len(x) else x
+
+
 class MergeReplay:
     """Encoder for one rank table (token bytes to rank)."""
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.bytes_of = {r: t for t, r in ranks.items()}
-        self.of_byte = [ranks[bytes((b,))] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
+        self.of_byte = np.array([ranks[bytes((b,))] for b in range(256)])
+        self.wide = max(ranks.values()) + 1
+        pairs = {}
+        for token, r in ranks.items():
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    pairs[left * self.wide + right] = r
+        self.pairs = pairs
+        self.byte_pairs = np.array([[pairs.get(int(a) * self.wide + int(b), -1) for b in self.of_byte] for a in self.of_byte], np.int64)
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        self.pair_ranks = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
 
     def rank(self, a: int, b: int) -> int:
         """Rank of the token that two neighbours give, -1 if there is none."""
-        got = self.pairs.get((a, b))
-        if got is None:
-            got = self.pairs[a, b] = self.ranks.get(self.bytes_of[a] + self.bytes_of[b], -1)
-        return got
-
-    def encode(self, words: list[bytes]) -> list[list[int]]:
-        """Token ids of each word. A word that is a token itself stays whole."""
-        out: list = [None] * len(words)
-        symbols: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        begins: list[int] = []
-        which: list[int] = []
-        places: dict[int, list[int]] = {}
-        of_byte, rank = self.of_byte, self.rank
-        for w, word in enumerate(words):
-            whole = self.ranks.get(word)
-            if whole is not None:
-                out[w] = [whole]
-                continue
-            at = len(symbols)
-            begins.append(at)
-            which.append(w)
-            ids = [of_byte[b] for b in word]
-            symbols += ids
-            end = at + len(ids)
-            after.extend(range(at + 1, end))
-            after.append(-1)
-            before.append(-1)
-            before.extend(range(at, end - 1))
-            for p, (a, b) in enumerate(zip(ids, ids[1:]), at):
-                r = rank(a, b)
-                if r >= 0:
-                    places.setdefault(r, []).append(p)
-        queue = list(places)
-        heapq.heapify(queue)
-        redo = set()
+        return self.pairs.get(a * self.wide + b, -1)
+
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        keys = a * self.wide + b
+        spot = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[spot] == keys, self.pair_ranks[spot], -1)
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words one after another, and their number for each word. A word that is a token
+        itself stays whole."""
+        sizes = np.array([len(w) for w in words], np.int64)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        codes = np.frombuffer(b"".join(words), np.uint8)
+        symbols = self.of_byte[codes]
+        n = len(symbols)
+        after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+        after[ends[sizes > 0] - 1] = -1
+        before[starts[sizes > 0]] = -1
+        whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
+        has = whole >= 0
+        inside = np.repeat(~has, sizes) if n else np.zeros(0, bool)
+        symbols[starts[has]] = whole[has]
+        rest = ~inside
+        rest[starts[has]] = False
+        symbols[rest] = -1
+
+        pair_rank = np.full(n, -1, np.int64)  # of the pair that starts at a place
+        open_ = np.flatnonzero(inside & (after >= 0))
+        pair_rank[open_] = self.byte_pairs[codes[open_], codes[open_ + 1]]
+        places: dict[int, list[np.ndarray]] = {}  # inverted index: rank of a pair -> where it stands
+        queue: list[int] = []
+
+        def enter(at: np.ndarray, ranks: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            ranks, at = ranks[order], at[order]
+            edges = np.flatnonzero(np.diff(ranks, prepend=-1, append=-1))
+            for i, j in zip(edges.tolist(), edges[1:].tolist()):
+                r = int(ranks[i])
+                if r in places:
+                    places[r].append(at[i:j])
+                else:
+                    places[r] = [at[i:j]]
+                    heapq.heappush(queue, r)
+
+        found = open_[pair_rank[open_] >= 0]
+        if len(found):
+            enter(found, pair_rank[found])
+        redo: list[np.ndarray] = []
         while queue:
             r = heapq.heappop(queue)
-            for p in sorted(places.pop(r)):
-                q = after[p]
-                if symbols[p] < 0 or q < 0 or rank(symbols[p], symbols[q]) != r:
-                    continue
-                symbols[p], symbols[q] = r, -1
-                nxt = after[p] = after[q]
-                prv = before[p]
-                if nxt >= 0:
-                    before[nxt] = p
-                for left, right in ((prv, p), (p, nxt)):
-                    if left < 0 or right < 0:
-                        continue
-                    new = rank(symbols[left], symbols[right])
-                    if new < 0:
-                        continue
-                    if new < r:  # comes before the other places of this rank in its word
-                        redo.add(bisect_right(begins, p) - 1)
-                    elif new in places:
-                        places[new].append(left)
-                    else:
-                        places[new] = [left]
-                        heapq.heappush(queue, new)
-        ends = [*begins[1:], len(symbols)]
-        for k, (start, end, w) in enumerate(zip(begins, ends, which)):
-            out[w] = self.one(words[w]) if k in redo else [s for s in symbols[start:end] if s >= 0]
-        return out
+            at = distinct(np.concatenate(places.pop(r)))
+            at = at[pair_rank[at] == r]
+            if (after[at[:-1]] == at[1:]).any():  # overlapping places: leftmost first
+                taken: set[int] = set()
+                for p in at.tolist():
+                    if before[p] not in taken:
+                        taken.add(p)
+                at = np.array(sorted(taken))
+            if not len(at):
+                continue
+            gone = after[at]
+            right = after[gone]
+            symbols[at], symbols[gone] = r, -1
+            pair_rank[gone] = -1
+            after[at] = right
+            more = right >= 0
+            before[right[more]] = at[more]
+            pair_rank[at] = -1
+            left = before[at]
+            left = left[left >= 0]
+            touched = distinct(np.concatenate([left, at[more]]))
+            if not len(touched):
+                continue
+            new = self._ranks(symbols[touched], symbols[after[touched]])
+            pair_rank[touched] = new
+            if (early := (new >= 0) & (new < r)).any():  # would come before other places of this rank in its word
+                redo.append(touched[early])
+            if (later := new >= r).any():
+                enter(touched[later], new[later])
+        alive = symbols >= 0
+        counts = np.add.reduceat(np.append(alive, False).astype(np.int64), np.minimum(starts, n))
+        counts[sizes == 0] = 0
+        if redo:
+            again = np.unique(np.searchsorted(ends, np.concatenate(redo), "right"))
+            parts = np.split(symbols[alive], np.cumsum(counts)[:-1])
+            for w in again.tolist():
+                parts[w] = np.array(self.one(words[w]))
+            return np.concatenate(parts), np.array([len(p) for p in parts])
+        return symbols[alive], counts
 
     def one(self, word: bytes) -> list[int]:
         """The same for a single word, strictly merge by merge: lowest rank first, leftmost place first."""
-        symbols = [self.of_byte[b] for b in word]
+        symbols = self.of_byte[list(word)].tolist()
         after = [*range(1, len(symbols)), -1]
         before = list(range(-1, len(symbols) - 1))
         queue = [(r, p) for p in range(len(symbols) - 1) if (r := self.rank(symbols[p], symbols[p + 1])) >= 0]
@@ -136,26 +208,28 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     with open(ranks_path, "rb") as f:
         table = spark.sparkContext.broadcast(f.read())
 
-    def make():
-        import regex
+    odd = differing() if pattern == PATTERN else ""
 
-        find = regex.compile(pattern).findall
+    def make():
+        find = splitter(pattern, odd)
         replay = MergeReplay(read_ranks(table.value))
-        known: dict[str, list[int]] = {}
+        known: dict[str, int] = {}
+        kept = pa.array([], pa.list_(pa.int32()))
 
         def work(texts):
-            nonlocal known
+            nonlocal known, kept
             cut = [find(t) if t else [] for t in texts]
-            new = list({w for ws in cut for w in ws if w not in known})
             if len(known) > KEPT_WORDS:
-                known, new = {}, list({w for ws in cut for w in ws})
-            known.update(zip(new, replay.encode([w.encode("utf-8") for w in new])))
-            offsets, flat = [0], []
-            for ws in cut:
-                for ids in map(known.__getitem__, ws):
-                    flat += ids
-                offsets.append(len(flat))
-            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))]
+                known, kept = {}, kept[:0]
+            new = list({w for ws in cut for w in ws}.difference(known))
+            if new:
+                flat, counts = replay.encode([w.encode("utf-8") for w in new])
+                known.update(zip(new, range(len(known), len(known) + len(new))))
+                kept = pa.concat_arrays([kept, lists(flat.astype(np.int32), counts, pa.int32())])
+            numbers = np.fromiter((known[w] for ws in cut for w in ws), np.int64)
+            ids = kept.take(pa.array(numbers))
+            ends = np.concatenate(([0], np.cumsum([len(ws) for ws in cut])))
+            return [pa.ListArray.from_arrays(ids.offsets.take(pa.array(ends)), ids.values)]
 
         return work
 
@@ -170,10 +244,20 @@ def decode(encoded: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id
     place = list(keep).index("ids")
 
     def run(batches):
-        of = {r: t for t, r in read_ranks(table.value).items()}
+        ranks = read_ranks(table.value)
+        of = [None] * (max(ranks.values()) + 1)
+        for token, r in ranks.items():
+            of[r] = token
+        of = pa.array(of, pa.binary())
         for batch in batches:
-            values = [b"".join(map(of.__getitem__, ids)) if ids else b"" for ids in (x.as_py() for x in batch.column(place))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.binary())], names=[f.name for f in schema])
+            ids = batch.column(place)
+            tokens = of.take(ids.flatten())
+            if tokens.null_count:
+                raise ValueError("ids that the rank file does not have")
+            ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))))
+            offsets = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset:][ends] if len(tokens) else np.zeros(len(ends), np.int32)
+            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets.astype(np.int32)), tokens.buffers()[2] or pa.py_buffer(b"")])
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[f.name for f in schema])
 
     return encoded.select(*keep).mapInArrow(run, schema)
 
