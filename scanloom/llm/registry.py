@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, lines, toxicity
+from scanloom.llm import bpe, jaccard, lines, toxicity
 
 QUERIES = {
     "op2_line_dedup": lines.op2,
+    "op3_jaccard_join": jaccard.op3,
     "op4_bpe": bpe.op4,
     "op8_toxicity": toxicity.op8,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.OP2_SQL,
+    "op3_jaccard_join": jaccard.OP3_SQL,
 }
