@@ -210,8 +210,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    words = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), x -> x <> '')"
-    grams = "CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i + 3], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END"
+    words = f"list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+    grams = "CASE WHEN len(ws) >= 4 THEN list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END"
     return f"""WITH RECURSIVE w AS (SELECT doc_id, {words} AS ws FROM documents),
 s AS (SELECT DISTINCT doc_id, unnest({grams}) AS g FROM w),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),

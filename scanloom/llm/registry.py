@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, jaccard, lines, toxicity
+from scanloom.llm import bpe, decontaminate, jaccard, lines, toxicity
 
 QUERIES = {
     "op2_line_dedup": lines.op2,
     "op3_jaccard_join": jaccard.op3,
     "op4_bpe": bpe.op4,
+    "op5_decontamination": decontaminate.op5,
     "op8_toxicity": toxicity.op8,
 }
 ORACLE: dict[str, str] = {
