@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, decontaminate, jaccard, lines, toxicity
+from scanloom.llm import bpe, decontaminate, jaccard, licenses, lines, toxicity
 
 QUERIES = {
     "op2_line_dedup": lines.op2,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_bpe": bpe.op4,
     "op5_decontamination": decontaminate.op5,
     "op8_toxicity": toxicity.op8,
+    "op9_license_scan": licenses.op9,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.OP2_SQL,
