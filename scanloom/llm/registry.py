@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, decontaminate, jaccard, licenses, lines, toxicity
+from scanloom.llm import bpe, decontaminate, fingerprints, jaccard, licenses, lines, toxicity
 
 QUERIES = {
+    "op1_fingerprints": fingerprints.op1,
     "op2_line_dedup": lines.op2,
     "op3_jaccard_join": jaccard.op3,
     "op4_bpe": bpe.op4,
