@@ -195,3 +195,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for a written table: below ``spark.checkpoint.dir``, or a local one where that is unset (tests)."""
     root = shared_folder(spark)
     return f"{root}/{name}-{next(tempfile._get_candidate_names())}-{os.getpid()}"
+
+
+def in_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, *extra: Column) -> DataFrame:
+    """(doc, text, block, extra): rows dealt by a hash of id and text into blocks of about ``block_bytes`` of text."""
+    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    blocks = total // block_bytes + 1
+    return docs.select(
+        F.col(id_col).alias("doc"), F.col(text_col).cast("string").alias("text"),
+        F.pmod(F.xxhash64(id_col, text_col), F.lit(blocks)).cast("int").alias("block"), *extra)
+
+
+def halves(table: pa.Table, text: int, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A group's rows in slices of about ``most`` bytes of text."""
+    for batch in table.combine_chunks().to_batches():
+        yield from pieces(batch, text, most)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, decontaminate, fingerprints, jaccard, licenses, lines, toxicity
+from scanloom.llm import bpe, decontaminate, fingerprints, jaccard, licenses, lines, substrings, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
@@ -10,10 +10,12 @@ QUERIES = {
     "op3_jaccard_join": jaccard.op3,
     "op4_bpe": bpe.op4,
     "op5_decontamination": decontaminate.op5,
+    "op6_substring_dedup": substrings.op6,
     "op8_toxicity": toxicity.op8,
     "op9_license_scan": licenses.op9,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.OP2_SQL,
     "op3_jaccard_join": jaccard.OP3_SQL,
+    "op6_substring_dedup": substrings.OP6_SQL,
 }
