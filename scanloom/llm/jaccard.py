@@ -1,23 +1,23 @@
 """N-gram Jaccard join by parity sketches.
 
 Every shingle flips one bit of a sketch, so the Hamming distance of two sketches is at most the symmetric difference
-of their sets. Sets that reach the threshold differ in at most D shingles; a sketch cut into more than D blocks
-therefore agrees in at least one block. Sketches are built for bands of set sizes, each with its own D, and joined
-on (band, block, content). Candidates are verified on the sets themselves.
+of their sets. Sets that reach the threshold differ in at most D shingles; of the B blocks of their sketches at least
+B - D agree. Sketches are built for bands of set sizes, each with its own D, and joined on (band, block, content).
 
-Empty blocks say nothing and would be shared by strangers. A set with more than D filled blocks agrees with each
-partner in a filled one, so only sets with fewer also give their empty blocks as keys; that keeps the join exact.
+Each set needs only its D + 1 rarest keys, in one global order: two sets that agree in B - D of B keys share one of
+these. Blocks without shingles come last in that order. So contents that many strangers share (a common passage, an
+empty block) make no candidates, and what is left is verified on the sets themselves.
 
-Rows move as classes of equal sets. From each bucket every class is first compared with one centre; whatever these
-links do not bring into one component is then compared within the bucket, so no link is lost and groups of near
-copies cost one comparison for each member.
+Rows move as classes of equal sets. Every class is first compared with the centre it shares most keys with; whatever
+these links do not bring into one component is then compared within its buckets, so no link is lost and groups of
+near copies cost one comparison for each member.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,8 @@ from scanloom.llm.components import components
 
 NO_ID = (1 << 63) - 1
 _BIT = np.uint64(0xFFFF)
+# Up to so many ids (8 bytes each) of documents to verify are broadcast; more are joined by a shuffle.
+BROADCAST_IDS = 200_000
 
 
 def sets_of(texts: list, size: int) -> list[np.ndarray]:
@@ -70,27 +72,28 @@ class Bands:
         return (100 - self.percent) * 2 * (self.edges[band + 1] - 1) // (100 + self.percent)
 
     def blocks(self, band: int) -> int:
-        """More blocks than the budget, so that a set without enough filled blocks is rare."""
         most = self.budget(band)
-        return most + 4 + most // 16 if most else 1
+        return most + 5 + most // 6 if most else 1
 
 
-def sketch_keys(own: np.ndarray, bands: Bands) -> np.ndarray:
-    """Join keys of one set: for its band and the next, one per block of its parity sketch."""
+def sketch_keys(own: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
+    """Join keys of one set, for its band and the next: one per block of its parity sketch. Next to each key
+    band * 2^16 + spare, where ``spare`` is the number of keys that may be left out."""
     own_band = bands.of(len(own))
-    out = []
+    keys, codes = [], []
     for band in (own_band, own_band + 1):
         blocks, budget = bands.blocks(band), bands.budget(band)
         block = ((own >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)  # ascending, as the hashes are
         begins = np.flatnonzero(np.concatenate(([True], block[1:] != block[:-1])))
         content = np.bitwise_xor.reduceat(mix((own & _BIT) + np.uint64(1)), begins)  # parity of 2^16 bits, as one number
         filled = block[begins]
-        where = mix(filled + np.uint64(band << 40))
-        out.append(mix(content ^ where))
-        if len(filled) <= budget:
+        keys.append(mix(content ^ mix(filled + np.uint64(band << 40))))
+        spare = max(len(filled) - budget - 1, 0)
+        if len(filled) <= budget:  # empty blocks are the last in order; here some are needed
             empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), filled)
-            out.append(mix(mix(empty + np.uint64(band << 40)) ^ np.uint64(0x5555)))
-    return np.concatenate(out)
+            keys.append(mix(mix(empty + np.uint64(band << 40)) ^ np.uint64(0x5555)))
+        codes.append(np.full(len(filled) if spare or len(filled) > budget else blocks, (band << 16) + spare, np.int32))
+    return np.concatenate(keys), np.concatenate(codes)
 
 
 def _members(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -105,22 +108,23 @@ def _members(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
 
 def _keys(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
-    """(key, class) once for each class and task."""
+    """(key, class, code) once for each class and task."""
     def run(batches):
         from scanloom.llm.base import pieces
 
         bands, seen = Bands(percent), set()
         for batch in batches:
             for piece in pieces(batch, 0):
-                keys, classes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+                keys, classes, codes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
                 for own in sets_of(piece.column(0).to_pylist(), size):
                     if len(own) and (name := class_hash(own)) not in seen:
                         seen.add(name)
-                        keys.append(sketch_keys(own, bands))
+                        for held, new in zip((keys, codes), sketch_keys(own, bands)):
+                            held.append(new)
                         classes.append(np.full(len(keys[-1]), name))
-                yield pa.RecordBatch.from_arrays([signed(np.concatenate(keys)), pa.array(np.concatenate(classes))], names=["key", "class"])
+                yield pa.RecordBatch.from_arrays([signed(np.concatenate(keys)), *(pa.array(np.concatenate(x)) for x in (classes, codes))], names=["key", "class", "code"])
 
-    return docs.select(text_col).mapInArrow(run, "key long, class long")
+    return docs.select(text_col).mapInArrow(run, "key long, class long, code int")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -133,13 +137,15 @@ def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size:
 
         return work
 
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
     chosen = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("node"), F.col(text_col).alias("text")).join(wanted, "node", "left_semi")
     return map_texts(chosen, "text", ["node"], [T.StructField("own", T.ArrayType(T.LongType()))], make)
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) of documents whose sets reach the threshold."""
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    wanted = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     sets = _sets(docs, wanted, id_col, text_col, size)
     one = pairs.join(sets.hint("merge"), F.col("a") == F.col("node")).select("a", "b", F.col("own").alias("first"))
     two = one.hint("merge").join(sets, F.col("b") == F.col("node")).select("a", "b", "first", "own")
@@ -171,10 +177,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("node").alias("first"), F.min("n_shingles").alias("n"))
 
     keys = _keys(docs, text_col, size, percent).repartition("key")
-    centres = keys.groupBy("key").agg(F.min("class").alias("centre"), F.max("class").alias("other")).filter("centre < other").select("key", "centre")
+    common = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")).filter("low < high").select("key", "n")
+    shared = keys.join(common, "key").distinct()
+    often = Window.partitionBy("class", "code").orderBy(F.desc("n"), F.desc("key"))
+    needed = shared.withColumn("place", F.row_number().over(often)).filter(F.col("place") > F.col("code") % (1 << 16))
     path = scratch(spark, "buckets")
-    keys.join(centres, "key").write.parquet(path)
-    buckets = spark.read.schema("key long, class long, centre long").parquet(path)
+    needed.select("key", "class").write.parquet(path)
+    buckets = spark.read.schema("key long, class long").parquet(path)
+    centres = buckets.groupBy("key").agg(F.min("class").alias("centre"))
+    best = buckets.join(centres, "key").filter("class <> centre").groupBy("class", "centre").count().groupBy("class").agg(F.max(F.struct("count", "centre")).alias("most"))
 
     def named(pairs: DataFrame) -> DataFrame:
         """Pairs of classes as pairs of their first documents, without those whose sizes rule a link out."""
@@ -183,7 +194,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
         return pairs.join(a, "x").join(b, "y").filter(fits & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    starred = cut(named(buckets.filter("class <> centre").select(F.col("centre").alias("x"), F.col("class").alias("y")).distinct()))
+    starred = cut(named(best.select(F.col("most.centre").alias("x"), F.col("class").alias("y"))))
     texts = members.join(classes, "class").select("node", "first").distinct()
     lowest = texts.groupBy("node").agg(F.min("first").alias("low"), F.max("first").alias("high")).filter("low < high")
     same = texts.join(lowest, "node").filter("first <> low").select(F.col("low").alias("a"), F.col("first").alias("b"))  # ids with several texts
