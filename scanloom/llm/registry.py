@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, decontaminate, fingerprints, jaccard, licenses, lines, substrings, toxicity
+from scanloom.llm import bpe, decontaminate, fingerprints, jaccard, licenses, lines, quality, substrings, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_substring_dedup": substrings.op6,
     "op8_toxicity": toxicity.op8,
     "op9_license_scan": licenses.op9,
+    "op10_quality": quality.op10,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.OP2_SQL,
