@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, decontaminate, fingerprints, jaccard, licenses, lines, quality, substrings, toxicity
+from scanloom.llm import bpe, ctw, decontaminate, fingerprints, jaccard, licenses, lines, quality, substrings, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_bpe": bpe.op4,
     "op5_decontamination": decontaminate.op5,
     "op6_substring_dedup": substrings.op6,
+    "op7_ctw": ctw.op7,
     "op8_toxicity": toxicity.op8,
     "op9_license_scan": licenses.op9,
     "op10_quality": quality.op10,
