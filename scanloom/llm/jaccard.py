@@ -72,8 +72,9 @@ class Bands:
         return (100 - self.percent) * 2 * (self.edges[band + 1] - 1) // (100 + self.percent)
 
     def blocks(self, band: int) -> int:
+        """Half as many again as the budget: a third of the keys of a set, the most frequent ones, may be left out."""
         most = self.budget(band)
-        return most + 5 + most // 6 if most else 1
+        return most + 5 + most // 2 if most else 1
 
 
 def sketch_keys(own: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
@@ -177,7 +178,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("node").alias("first"), F.min("n_shingles").alias("n"))
 
     keys = _keys(docs, text_col, size, percent).repartition("key")
-    common = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n")).filter("low < high").select("key", "n")
+    # Both uses of the dealt keys need all their columns, so one shuffle serves them.
+    common = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"), F.max("code").alias("any")).filter("low < high and any is not null").select("key", "n")
     shared = keys.join(common, "key").distinct()
     often = Window.partitionBy("class", "code").orderBy(F.desc("n"), F.desc("key"))
     needed = shared.withColumn("place", F.row_number().over(often)).filter(F.col("place") > F.col("code") % (1 << 16))

@@ -91,7 +91,8 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
 
     held = blocks.groupBy("block").applyInArrow(anchors, "anchor long, block int, several boolean").repartition("anchor")
     repeated = held.groupBy("anchor").agg(F.min("block").alias("a"), F.max("block").alias("b"), F.max("several").alias("c")).filter("a < b or c").select("anchor")
-    told = held.join(repeated, "anchor").select("block", "anchor")
+    # Both uses of a dealt table need all its columns, so one shuffle serves them.
+    told = held.join(repeated, "anchor").select(F.when(F.col("several").isNotNull(), F.col("block")).alias("block"), "anchor")
 
     def candidates(left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.sort(right.column(1).to_numpy().view(np.uint64))
@@ -111,8 +112,8 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         return np.flatnonzero(known[spot] == values)
 
     index = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(candidates, "hash long, block int, low long, high long").repartition("hash")
-    owners = index.groupBy("hash").agg(F.min("low").alias("owner"), F.max("high").alias("last")).filter("owner < last").select("hash", "owner")
-    answers = index.join(owners, "hash").filter("owner < high").select("block", "hash", "owner")
+    owners = index.groupBy("hash").agg(F.min("low").alias("owner"), F.max("high").alias("last"), F.max("block").alias("any")).filter("owner < last and any is not null").select("hash", "owner")
+    answers = index.join(owners, "hash").filter("owner < high").select("block", "hash", F.least("owner", "low").alias("owner"))
 
     kind = pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64()), ("source", pa.int64())]))
 
