@@ -19,7 +19,7 @@ from scanloom.functions import vocabulary as V
 from scanloom.functions.dates import MAX_DAYS, shifted_values
 from scanloom.functions.identifiers import name_uuid, remap_uid, remap_uids
 from scanloom.functions.text import blank_to_null, col, first_error, is_blank
-from scanloom.operators.keyed import bounded_rows, first_row_per_key, lookup_join, small_join
+from scanloom.operators.keyed import first_row_per_key, lookup_join, small_join
 
 ITEM_PATH = "array<struct<tag:string,keyword:string,item:int>>"
 ELEMENT_SCHEMA = (
@@ -30,7 +30,6 @@ ELEMENT_COLUMNS = ["sop_instance_uid", "item_path", "tag", "keyword", "vr", "pri
 # Dummy per VR (binary VRs take eight zero bytes, all others REMOVED).
 DUMMIES = [("DA", "19991111"), ("DT", "19991111111111"), ("TM", "111111"), ("IS", "0"), ("DS", "0"), ("US", "0"), ("AS", "0"), ("UL", "0")]
 BINARY_VRS = ["OB", "OD", "OF", "OL", "OV", "OW", "UN"]
-MAX_ACTIONS = 10_000  # the public attribute dictionary has about 5,000 keywords
 
 
 @dataclass(frozen=True)
@@ -56,47 +55,39 @@ class Profile:
 class ActionPlan:
     """Active keyword sets of an action table under a profile, as membership tests.
 
-    Sets instead of a join: the table is small by nature (checked), membership is a hash probe
+    Sets instead of a join: the table is bounded by the attribute dictionary, membership is a hash probe
     inside code generation, and it also serves the ancestors held in ``item_path``.
     """
 
-    def __init__(self, rows, profile: Profile, rules: bool):
+    def __init__(self, rows, profile: Profile = Profile()):
+        """``rows``: keyword, action, group and, for the date group, whether a date shift keeps the entry."""
         skipped = {g for g, on in (("device", profile.retain_device), ("institution", profile.retain_institution),
                                    ("uid", profile.retain_uids), ("dates", profile.dates == "full")) if on}
-        self.profile, self.rules = profile, rules
-        self.named = sorted({r[0] for r in rows})
-        self.sets = {(a, d): sorted({r[0] for r in rows if r[1] == a and (r[2] == "dates") == d and r[2] not in skipped})
-                     for a in "XZDU" for d in (False, True)}
+        self.profile = profile
+        entries = [(r[0], r[1], r[2], r[2] == "dates" and (len(r) < 4 or bool(r[3]))) for r in rows if r[2] not in skipped]
+        self.sets = {(a, d): sorted({k for k, action, _, temporal in entries if action == a and temporal == d}) for a in "XZDU" for d in (False, True)}
 
     @classmethod
-    def of(cls, actions: DataFrame, profile: Profile, rules: bool) -> ActionPlan:
-        return cls([tuple(r) for r in bounded_rows(actions.select("keyword", "action", "grp").distinct(), MAX_ACTIONS)], profile, rules)
+    def of(cls, actions: DataFrame, profile: Profile = Profile()) -> ActionPlan:
+        """Plan of an action table (keyword, action, grp, temporal); it has one row per keyword and action."""
+        return cls([tuple(r) for r in actions.select("keyword", "action", "grp", "temporal").distinct().collect()], profile)
 
     @classmethod
     def default(cls, profile: Profile = Profile()) -> ActionPlan:
-        return cls(A._named(), profile, True)
+        return cls(A.named_actions(), profile)
 
-    def action(self, keyword: str, vr: str, shifting: str) -> str:
+    def action(self, keyword: str, shifting: str) -> str:
         """SQL text giving X, Z, D or U of one attribute, NULL when it stays. X wins over Z and D.
 
         The arguments are SQL texts too. Text keeps the long membership lists out of the Python
         expression builder and may name lambda variables.
         """
-        dated = f"(NOT {shifting} OR coalesce({vr}, '') NOT IN ({_quoted(A.TEMPORAL_VRS)}))"
-
         def member(action):
-            tests = [f"{keyword} IN ({_quoted(names)})" + (f" AND {dated}" if dates else "")
-                     for dates in (False, True) if (names := self.sets[action, dates])]
+            tests = [f"{keyword} IN ({_quoted(names)})" + (f" AND NOT {shifting}" if temporal else "")
+                     for temporal in (False, True) if (names := self.sets[action, temporal])]
             return " OR ".join(f"({t})" for t in tests) or "false"
 
         cases = [f"WHEN {member(a)} THEN '{a}'" for a in ("XZD" if self.profile.retain_uids else "XZDU")]
-        if self.rules:
-            # One anchored and one free pattern: the anchored one gives up after the first character.
-            starts, contains = ("|".join(f"(?:{r})" for r in rules) for rules in (A.REMOVAL_STARTS, A.REMOVAL_CONTAINS))
-            ruled = f"({keyword} RLIKE r'^(?:{starts})' OR {keyword} RLIKE r'{contains}')"
-            dates = "false" if self.profile.dates == "full" else f"(NOT {shifting} AND {vr} IN ({_quoted(A.TEMPORAL_VRS)}))"
-            cases.append(f"WHEN {keyword} IN ({_quoted(self.named)}) THEN NULL")
-            cases.append(f"WHEN ({keyword} IS NOT NULL AND {dates}) OR {ruled} THEN 'X'")
         return f"CASE {' '.join(cases)} END"
 
 
@@ -144,7 +135,7 @@ def retained_keywords(retain: str | None, known: list[str] | None = None) -> lis
 def annotate_actions(elements: DataFrame, plan: ActionPlan, days: Column | None = None) -> DataFrame:
     """Add the action of each row (X, Z, D, U or NULL), ancestors not considered."""
     shifting = plan.profile.shifting(F.lit(None).cast("int") if days is None else days)
-    own = plan.action("keyword", "vr", "_shifting")
+    own = plan.action("keyword", "_shifting")
     return (elements.withColumn("_shifting", shifting)
             .withColumn("action", F.expr(f"CASE WHEN {stripped_group('tag')} THEN 'X' ELSE {own} END")).drop("_shifting"))
 
@@ -161,13 +152,14 @@ def join_dictionary(elements: DataFrame, dictionary: DataFrame) -> DataFrame:
     return small_join(elements, dictionary, ["keyword"], "sop_instance_uid", "inner")
 
 
-def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain: list[str] | None = None) -> DataFrame:
+def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain: list[str] | None = None, new_key: bool = False) -> DataFrame:
     """Remove, empty, replace, remap and retain; then study/series remap and date shift.
 
-    ``header`` needs sop_instance_uid, sop_class_uid, study_uid, series_uid and days (NULL = no shift).
+    ``header`` needs sop_instance_uid, sop_class_uid, study_uid, series_uid and days (NULL = no shift). With
+    ``new_key`` the rows carry the remapped UID as their key; it is computed once per instance.
     """
     retain = retain or []
-    facts = header.select("sop_instance_uid", F.col("days").alias("_days"),
+    facts = header.select("sop_instance_uid", (remap_uid("sop_instance_uid") if new_key else F.col("sop_instance_uid")).alias("_key"), F.col("days").alias("_days"),
                           F.coalesce(F.col("sop_class_uid") == V.PET_IMAGE, F.lit(False)).alias("_pet"),
                           (F.col("study_uid").isNotNull() & F.col("series_uid").isNotNull()).alias("_placed"))
     # Merge join: elements must never be chosen for a broadcast by a low size estimate, and
@@ -176,7 +168,7 @@ def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain
     names = _quoted(retain) or "''"
 
     # The outermost sequence with a rule decides: removed with its subtree, or retained whole.
-    decision = (f"CASE WHEN {stripped_group('p.tag')} THEN 'drop' WHEN {plan.action('p.keyword', chr(39) + 'SQ' + chr(39), '_shifting')} IN ('X', 'Z', 'D') "
+    decision = (f"CASE WHEN {stripped_group('p.tag')} THEN 'drop' WHEN {plan.action('p.keyword', '_shifting')} IN ('X', 'Z', 'D') "
                 f"THEN CASE WHEN p.keyword IN ({names}) THEN 'keep' ELSE 'drop' END END")
     within = f"CASE WHEN size(item_path) > 0 THEN get(filter(transform(item_path, p -> {decision}), d -> d IS NOT NULL), 0) END"
     rows = rows.withColumn("_within", F.expr(within)).filter("coalesce(_within, '') <> 'drop'")
@@ -185,7 +177,7 @@ def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain
     pet = "false" if plan.profile.dates == "full" else "(_pet AND NOT _shifting AND size(item_path) = 0 AND keyword IN ('SeriesDate', 'SeriesTime'))"
     restored = f"(keyword IN ({names}) AND (vr = 'SQ' OR get(values, 0) <> ''))"
     effective = (f"CASE WHEN _within = 'keep' THEN 'keep' WHEN {pet} OR {stripped_group('tag')} THEN 'X' WHEN {restored} THEN 'R' "
-                 f"ELSE {plan.action('keyword', 'vr', '_shifting')} END")
+                 f"ELSE {plan.action('keyword', '_shifting')} END")
     rows = rows.withColumn("_action", F.expr(effective)).filter("coalesce(_action, '') <> 'X'")
 
     root, first = F.size("item_path") == 0, F.nullif(F.get("values", F.lit(0)), F.lit(""))
@@ -204,7 +196,7 @@ def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain
     rows = rows.withColumn("values", values).withColumn("bin", binary)
     rows = rows.withColumn("values", shifted_values("values", "vr", F.when(F.col("_shifting"), F.col("_days"))))
     # An emptied sequence has no items; its subtree was dropped above.
-    return rows.select(*ELEMENT_COLUMNS)
+    return rows.select(F.col("_key").alias("sop_instance_uid"), *ELEMENT_COLUMNS[1:])
 
 
 def _root_row(tag: str, keyword: str, vr: str, values: Column, when: Column | None = None) -> Column:
@@ -271,10 +263,18 @@ def generated_rows(header: DataFrame, profile: Profile, issuer: str | None) -> D
 
 
 def deidentify(elements: DataFrame, header: DataFrame, plan: ActionPlan | None = None, retain: str | None = None, issuer: str | None = None) -> DataFrame:
-    """The whole pipeline. ``header`` = :func:`header_of` plus days and optional pseudonyms."""
+    """The whole pipeline. ``header`` = :func:`header_of` plus days and optional pseudonyms.
+
+    Rows are keyed by the new SOP Instance UID, unless UIDs or this one are retained; :func:`result_uids` maps
+    the original keys to the new ones and belongs to a restricted place.
+    """
     plan = plan or ActionPlan.default()
     has_identity = "pseudonym_pid" in header.columns
-    kept = apply_rules(elements, header, plan, retained_keywords(retain))
+    keep = retained_keywords(retain)
+    moved = not plan.profile.retain_uids and "SOPInstanceUID" not in keep
+    kept = apply_rules(elements, header, plan, keep, moved)
+    if moved:
+        header = header.withColumn("sop_instance_uid", remap_uid("sop_instance_uid"))
     replaced = ["PatientIdentityRemoved", "LongitudinalTemporalInformationModified", "DeidentificationMethod", "DeidentificationMethodCodeSequence"]
     replaced += ["IssuerOfPatientID"] if issuer is not None else []
     replaced += ["PatientID", "PatientName"] if has_identity else (["PatientID"] if plan.profile.patient_id_hash else [])
@@ -364,7 +364,9 @@ def surviving_values(before: DataFrame, after: DataFrame, keywords: list[str]) -
     Both sides are reduced to distinct pairs before they meet, so frequent values cost nothing.
     """
     def pairs(df):
-        return (df.filter(F.col("keyword").isin(keywords)).select("keyword", F.explode("values").alias("value"))
-                .filter("value is not null and value <> ''").distinct())
+        rows = df.filter(F.col("keyword").isin(keywords)).select("keyword", F.explode("values").alias("value"))
+        if "SOPInstanceUID" in keywords:  # the key column must not give it away either
+            rows = rows.union(df.select(F.lit("SOPInstanceUID"), "sop_instance_uid"))
+        return rows.filter("value is not null and value <> ''").distinct()
 
     return pairs(after).join(pairs(before), ["keyword", "value"], "left_semi")

@@ -46,12 +46,13 @@ def first_row_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataF
 def numbered(df: DataFrame, group: list[str], tie: ColumnOrName, index: str = "row_index", total: str | None = None, digits: int = 3) -> DataFrame:
     """0-based, gapless number of each row within its group; optionally the group size.
 
-    The order is that of the MD5 of ``tie`` (then ``tie``), which is arbitrary but repeatable.
+    The order is that of the MD5 of ``tie`` (then ``tie``), which is arbitrary but repeatable; rows without a tie
+    come first, as a range of their own.
     Because leading MD5 digits are an even, order-preserving split, a group is cut into
     16**digits ranges: sizes per range are pre-aggregated, turned into offsets, and each range is
     numbered on its own. No task sees more than one range of a group.
     """
-    keyed = (df.withColumn("_tie", col(tie).cast("string")).withColumn("_hash", F.md5("_tie"))
+    keyed = (df.withColumn("_tie", col(tie).cast("string")).withColumn("_hash", F.coalesce(F.md5("_tie"), F.lit("")))
              .withColumn("_range", F.substring("_hash", 1, digits)))
     sizes = keyed.groupBy(*group, "_range").agg(F.count(F.lit(1)).alias("_n"))
     per_group = Window.partitionBy(*group)

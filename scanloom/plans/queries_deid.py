@@ -37,9 +37,10 @@ def digests(df):
         F.count(F.lit(1)).alias("attributes"), F.md5(F.array_join(F.array_sort(F.collect_list(line)), "\n")).alias("digest"))
 
 
-def _digest_sql(rows: str) -> str:
+def _digest_sql(rows: str, moved: bool = True) -> str:
     line = "concat_ws('|', path, tag, vr, coalesce(value, '<none>'))"
-    return f"SELECT sop_instance_uid, count(*) AS attributes, md5(string_agg({line}, chr(10) ORDER BY {line})) AS digest FROM ({rows}) GROUP BY sop_instance_uid"
+    key = remapped("sop_instance_uid") if moved else "sop_instance_uid"
+    return f"SELECT {key} AS sop_instance_uid, count(*) AS attributes, md5(string_agg({line}, chr(10) ORDER BY {line})) AS digest FROM ({rows}) GROUP BY sop_instance_uid"
 
 
 _STRIPPED = "(substr(tag, 4, 1) IN ('1', '3', '5', '7', '9', 'B', 'D', 'F') OR substr(tag, 1, 2) IN ('50', '60'))"
@@ -147,7 +148,10 @@ _NAMED_ACTION = """CASE WHEN keyword IN ('TimezoneOffsetFromUTC') THEN 'X' WHEN
   WHEN keyword IN ('SOPInstanceUID', 'StudyInstanceUID', 'SeriesInstanceUID', 'FrameOfReferenceUID', 'ReferencedSOPInstanceUID') THEN 'U' END"""
 
 
-@query("d2_action_join", f"SELECT keyword, {_NAMED_ACTION} AS action, count(*) AS n FROM elements GROUP BY 1, 2")
+_REMOVED = "'OverlayData', 'PatientAge', 'RequestAttributesSequence', 'ScheduledProcedureStepID', 'RTReferencedStudySequence', 'RTReferencedSeriesSequence', 'SeriesDate'"
+
+
+@query("d2_action_join", f"SELECT keyword, CASE WHEN keyword IN ({_REMOVED}) THEN 'X' ELSE {_NAMED_ACTION} END AS action, count(*) AS n FROM elements GROUP BY 1, 2")
 def _(t):
     e = t("elements")
     return D.join_actions(e, A.default_actions(e.sparkSession)).groupBy("keyword", "action").agg(F.count(F.lit(1)).alias("n"))
@@ -204,8 +208,8 @@ def _(t):
 
 # --- E ----------------------------------------------------------------------------------------
 
-def _plan(*rows, profile=D.Profile(), rules=False):
-    return D.ActionPlan(list(rows), profile, rules)
+def _plan(*rows, profile=D.Profile()):
+    return D.ActionPlan(list(rows), profile)
 
 
 def _plain_header(t):
@@ -279,7 +283,7 @@ def _(t):
     return rows.filter("keyword = 'PatientID'").select("sop_instance_uid", value_text())
 
 
-@query("e9_pet_correction", "SELECT sop_instance_uid, '19991111' AS series_date, '111111' AS series_time FROM inst WHERE sop_class_uid = '1.2.840.10008.5.1.4.1.1.128'")
+@query("e9_pet_correction", f"SELECT {remapped('sop_instance_uid')} AS sop_instance_uid, '19991111' AS series_date, '111111' AS series_time FROM inst WHERE sop_class_uid = '1.2.840.10008.5.1.4.1.1.128'")
 def _(t):
     out = D.anonymise(t("elements")).filter(at_root() & F.col("keyword").isin("SeriesDate", "SeriesTime"))
     first = F.get("values", F.lit(0))
@@ -295,7 +299,7 @@ def _(t):
 _RETAIN = ("StudyDate", "PatientAge", "SOPInstanceUID", "ImageType", "RTReferencedStudySequence")
 
 
-@query("e11_retain_tags", _digest_sql(_deid_sql(_NO_SHIFT, retain=_RETAIN)))
+@query("e11_retain_tags", _digest_sql(_deid_sql(_NO_SHIFT, retain=_RETAIN), moved=False))
 def _(t):
     return digests(D.deidentify(t("elements"), _plain_header(t), retain=", ".join(_RETAIN) + ", UnknownName"))
 
@@ -311,7 +315,7 @@ def _(t):
     return rows.select(value_text()).groupBy("value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("e14_identity_by_lookup", f"SELECT sop_instance_uid, pid AS patient_id, name AS patient_name FROM ({_LOOKED_UP})")
+@query("e14_identity_by_lookup", f"SELECT {remapped('sop_instance_uid')} AS sop_instance_uid, pid AS patient_id, name AS patient_name FROM ({_LOOKED_UP})")
 def _(t):
     out = D.pseudonymise_by_lookup(t("elements"), _header(t), _table(t), order=["id"]).filter(at_root() & F.col("keyword").isin("PatientID", "PatientName"))
     first = F.get("values", F.lit(0))

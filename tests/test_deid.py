@@ -182,3 +182,34 @@ def test_no_original_date_survives_a_shift(spark):
     header = D.header_of(df).withColumn("days", F.lit(-42))
     after = D.deidentify(df, header)
     assert D.surviving_values(df, after, ["StudyDate", "SeriesDate", "ContentDate", "StudyInstanceUID", "SOPInstanceUID"]).count() == 0
+
+
+def test_every_entry_of_the_lists(spark):
+    """Each entry under each choice of dates, with its own type, an unknown one and none; what no list names stays."""
+    from scanloom.functions import actions as A
+
+    names = sorted({e[0] for e in A.named_actions()}) + ["Modality", "ObserverType", "OtherStudyNumbers", "VisitStatusID", "FiducialDescription"]
+    rank = "XZDU"
+    for dates in ("removed", "modified", "full"):
+        plan = D.ActionPlan.default(D.Profile(dates=dates))
+        want = {}
+        for keyword, action, grp, temporal in A.named_actions():
+            stays = grp == "dates" and (dates == "full" or dates == "modified" and temporal)
+            if not stays and rank.index(action) < rank.index(want.get(keyword, "U")) + (keyword not in want):
+                want[keyword] = action
+        for vr in ("DA", "UN", None):
+            df = elements(spark, [((), "00081111", n, vr, ["20200101"]) for n in names])
+            got = {r["keyword"]: r["action"] for r in D.annotate_actions(df.withColumn("tag", F.lit("00080001")), plan).collect()}
+            assert got == {n: want.get(n) for n in names}
+
+
+def test_key_is_replaced_and_a_leak_is_seen(spark):
+    df = elements(spark, SAMPLE)
+    header = D.header_of(df).withColumn("days", F.lit(-42))
+    after = D.deidentify(df, header)
+    mapping = D.result_uids(header).first()
+    assert {r["sop_instance_uid"] for r in after.collect()} == {mapping["new_sop_instance_uid"]} != {"1.2.3.4.5.6"}
+    leaky = after.withColumn("sop_instance_uid", F.lit("1.2.3.4.5.6"))
+    assert D.surviving_values(df, leaky, ["SOPInstanceUID"]).count() == 1
+    kept = D.deidentify(df, header, retain="SOPInstanceUID")
+    assert {r["sop_instance_uid"] for r in kept.collect()} == {"1.2.3.4.5.6"}

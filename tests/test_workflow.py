@@ -177,3 +177,12 @@ def test_documents_and_projections(spark):
     assert projections.extracted_documents(df, dotted_mime=True).first()["mime_type"] == "application/.pdf"
     csv = spark.createDataFrame([("a", "b", "john o", "doe")], "c1 string, c2 string, c3 string, c4 string")
     assert projections.csv_columns_capitalised(csv, "c3", "c4").first()["line"] == "John o Doe"
+
+
+def test_rows_without_a_tie_are_numbered_too(spark):
+    from scanloom.operators import keyed
+
+    df = spark.createDataFrame([("g", "a"), ("g", None), ("g", None), (None, "b")], "grp string, tie string")
+    got = keyed.numbered(df, ["grp"], "tie", "n", "total").collect()
+    assert sorted((r["grp"] or "", r["n"], r["total"]) for r in got) == [("", 0, 1), ("g", 0, 3), ("g", 1, 3), ("g", 2, 3)]
+    assert all(r["tie"] is None for r in got if r["grp"] == "g" and r["n"] < 2)
