@@ -87,11 +87,30 @@ ENCAPSULATED = [
     ("1.2.40.0.13.1.5.1.4.1.1.104.3", "EncapsulatedBzip2", ".bz2"),
 ]
 
-# Structured report classes (last parts under 1.2.840.10008.5.1.4.1.1).
+# Structured report classes.
 REPORT_CLASSES = [
-    f"1.2.840.10008.5.1.4.1.1.{tail}" for tail in (
-        "78.6", "79.1", "88.11", "88.22", "88.33", "88.34", "88.35", "88.40", "88.50", "88.59", "88.65",
-        "88.67", "88.68", "88.69", "88.70", "88.71", "88.72", "88.73", "88.74", "88.75", "88.76", "88.77")
+    "1.2.840.10008.5.1.4.1.1.78.6",
+    "1.2.840.10008.5.1.4.1.1.79.1",
+    "1.2.840.10008.5.1.4.1.1.88.11",
+    "1.2.840.10008.5.1.4.1.1.88.22",
+    "1.2.840.10008.5.1.4.1.1.88.33",
+    "1.2.840.10008.5.1.4.1.1.88.34",
+    "1.2.840.10008.5.1.4.1.1.88.35",
+    "1.2.840.10008.5.1.4.1.1.88.40",
+    "1.2.840.10008.5.1.4.1.1.88.50",
+    "1.2.840.10008.5.1.4.1.1.88.59",
+    "1.2.840.10008.5.1.4.1.1.88.65",
+    "1.2.840.10008.5.1.4.1.1.88.67",
+    "1.2.840.10008.5.1.4.1.1.88.68",
+    "1.2.840.10008.5.1.4.1.1.88.69",
+    "1.2.840.10008.5.1.4.1.1.88.70",
+    "1.2.840.10008.5.1.4.1.1.88.71",
+    "1.2.840.10008.5.1.4.1.1.88.72",
+    "1.2.840.10008.5.1.4.1.1.88.73",
+    "1.2.840.10008.5.1.4.1.1.88.74",
+    "1.2.840.10008.5.1.4.1.1.88.75",
+    "1.2.840.10008.5.1.4.1.1.88.76",
+    "1.2.840.10008.5.1.4.1.1.88.77",
 ]
 REPORT_SYNTAXES = [IMPLICIT_LE, EXPLICIT_LE, DEFLATED_LE]
 

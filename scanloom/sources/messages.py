@@ -15,7 +15,7 @@ CHARSETS = {"UTF-8": ["UNICODE UTF-8", "UTF-8"], "ISO-8859-1": ["8859/1", "ISO-8
 
 def declared_charset(content: ColumnOrName, default: str = "UTF-8") -> Column:
     """MSH-18, found by a byte-safe single-byte reading, wins over the configured default."""
-    header = F.split(F.decode(F.substring(col(content), 1, 4096), "ISO-8859-1"), r"[\r\n]", 2)[0]
+    header = F.split(F.decode(col(content), "ISO-8859-1"), r"[\r\n]", 2)[0]
     name = F.upper(F.trim(F.get(F.split(F.get(F.split(header, r"\|"), F.lit(17)), "~"), F.lit(0))))
     out = None
     for charset, names in CHARSETS.items():
