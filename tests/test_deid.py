@@ -5,33 +5,33 @@ from pyspark.sql import functions as F
 
 from scanloom.operators import deid as D
 
-PFFG = ("52009230", "PerFrameFunctionalGroupsSequence", 0)
-FC = ("00209111", "FrameContentSequence", 0)
+TRACER = ("00540016", "RadiopharmaceuticalInformationSequence", 0)
+SOP = "2.25.503"
 
 SAMPLE = [
-    ((), "00080016", "SOPClassUID", "UI", ["1.2.840.10008.5.1.4.1.1.2"]),
-    ((), "0020000D", "StudyInstanceUID", "UI", ["1.2.3.4"]),
-    ((), "0020000E", "SeriesInstanceUID", "UI", ["1.2.3.4.5"]),
-    ((), "00080018", "SOPInstanceUID", "UI", ["1.2.3.4.5.6"]),
-    ((), "00100020", "PatientID", "LO", ["0001234567"]),
-    ((), "00100010", "PatientName", "PN", ["Roe^Pat"]),
-    ((), "00100030", "PatientBirthDate", "DA", ["19700615"]),
-    ((), "00101010", "PatientAge", "AS", ["049Y"]),
-    ((), "00080020", "StudyDate", "DA", ["20200101"]),
-    ((), "00080030", "StudyTime", "TM", ["101500"]),
-    ((), "00080021", "SeriesDate", "DA", ["20200101"]),
-    ((), "00080012", "InstanceCreationDate", "DA", ["20200102"]),
-    ((), "00080023", "ContentDate", "DA", ["20200101"]),
-    ((), "0008002A", "AcquisitionDateTime", "DT", ["20200101101530.25+0100"]),
-    ((), "00080201", "TimezoneOffsetFromUTC", "SH", ["+0100"]),
-    ((), "3010002D", "DeviceLabel", "LO", ["Scanner 3"]),
-    ((), "52009230", "PerFrameFunctionalGroupsSequence", "SQ", []),
-    ((PFFG,), "00209111", "FrameContentSequence", "SQ", []),
-    ((PFFG, FC), "00189074", "FrameAcquisitionDateTime", "DT", ["20200105080000"]),
+    ((), "00080016", "SOPClassUID", "UI", ["1.2.840.10008.5.1.4.1.1.20"]),
+    ((), "00080018", "SOPInstanceUID", "UI", [SOP]),
+    ((), "0020000D", "StudyInstanceUID", "UI", ["2.25.501"]),
+    ((), "0020000E", "SeriesInstanceUID", "UI", ["2.25.502"]),
+    ((), "00100010", "PatientName", "PN", ["Marsh^Lee"]),
+    ((), "00100020", "PatientID", "LO", ["K-77"]),
+    ((), "00100040", "PatientSex", "CS", ["O"]),
+    ((), "00101030", "PatientWeight", "DS", ["71"]),
+    ((), "00080020", "StudyDate", "DA", ["20231005"]),
+    ((), "00080021", "SeriesDate", "DA", ["20231006"]),
+    ((), "00080030", "StudyTime", "TM", ["080000"]),
+    ((), "00400244", "PerformedProcedureStepStartDate", "DA", ["20231007"]),
+    ((), "00080022", "AcquisitionDate", "DA", ["20231008"]),
+    ((), "00080023", "ContentDate", "DA", ["20231008"]),
+    ((), "0008002A", "AcquisitionDateTime", "DT", ["20231008070605-0330"]),
+    ((), "00080201", "TimezoneOffsetFromUTC", "SH", ["-0330"]),
+    ((), "0018700A", "DetectorID", "SH", ["D9"]),
+    ((), "00540016", "RadiopharmaceuticalInformationSequence", "SQ", []),
+    ((TRACER,), "00181078", "RadiopharmaceuticalStartDateTime", "DT", ["20231009113000"]),
 ]
 
 
-def elements(spark, rows, sop="1.2.3.4.5.6", binary=None):
+def elements(spark, rows, sop=SOP, binary=None):
     data = [(sop, [{"tag": t, "keyword": k, "item": i} for t, k, i in path], tag, kw, vr, None, values,
              (binary or {}).get(kw), n) for n, (path, tag, kw, vr, values) in enumerate(rows)]
     return spark.createDataFrame(data, D.ELEMENT_SCHEMA)
@@ -51,73 +51,59 @@ def value(result, keyword, path=()):
 
 
 def test_shift_keeps_and_moves_dates(spark):
-    r, _ = run(elements(spark, SAMPLE), -42)
-    assert value(r, "StudyDate") == ["20191120"]
-    assert value(r, "SeriesDate") == ["20191120"]
-    assert value(r, "InstanceCreationDate") == ["20191121"]
-    assert value(r, "ContentDate") == ["20191120"]
-    assert value(r, "AcquisitionDateTime") == ["20191120101530.25+0100"]
-    assert value(r, "PatientBirthDate") == []
-    assert value(r, "PatientAge") is None
-    path = (("PerFrameFunctionalGroupsSequence", 0), ("FrameContentSequence", 0))
-    assert value(r, "FrameAcquisitionDateTime", path) == ["20191124080000"]
-    assert value(r, "StudyTime") == ["101500"]
-    assert value(r, "TimezoneOffsetFromUTC") is None
-    assert value(r, "DeviceLabel") == ["REMOVED"]
-    assert value(r, "PatientID") == ["PS-1"] and value(r, "PatientName") == ["PS^1"]
-    assert value(r, "IssuerOfPatientID") == ["SITE"]
-    assert value(r, "StudyInstanceUID")[0].startswith("2.25.")
+    r, _ = run(elements(spark, SAMPLE), 100)
+    moved = {"StudyDate": "20240113", "SeriesDate": "20240114", "PerformedProcedureStepStartDate": "20240115", "AcquisitionDate": "20240116",
+             "ContentDate": "20240116", "AcquisitionDateTime": "20240116070605-0330", "StudyTime": "080000"}
+    assert {k: value(r, k)[0] for k in moved} == moved
+    assert value(r, "RadiopharmaceuticalStartDateTime", (("RadiopharmaceuticalInformationSequence", 0),)) == ["20240117113000"]
+    assert value(r, "PatientSex") == [] and value(r, "PatientWeight") is None
+    assert value(r, "TimezoneOffsetFromUTC") is None and value(r, "DetectorID") == ["REMOVED"]
+    assert value(r, "PatientID") == ["PS-1"] and value(r, "PatientName") == ["PS^1"] and value(r, "IssuerOfPatientID") == ["SITE"]
+    assert value(r, "SeriesInstanceUID")[0].startswith("2.25.") and value(r, "SeriesInstanceUID") != ["2.25.502"]
     assert value(r, "LongitudinalTemporalInformationModified") == ["MODIFIED"]
-    codes = [x["values"][0] for k, x in r.items() if k[1] == "CodeValue"]
-    assert sorted(codes) == ["113100", "113107"]
+    assert sorted(x["values"][0] for k, x in r.items() if k[1] == "CodeValue") == ["113100", "113107"]
 
 
 @pytest.mark.parametrize("days", [0, None])
 def test_without_shift_dates_go(spark, days):
     r, _ = run(elements(spark, SAMPLE), days)
-    assert value(r, "StudyDate") == []
-    assert value(r, "PatientBirthDate") == []
-    assert value(r, "PatientAge") is None and value(r, "InstanceCreationDate") is None
-    assert value(r, "ContentDate") == ["19991111"]
+    assert value(r, "StudyDate") == [] and value(r, "AcquisitionDate") == [] and value(r, "StudyTime") == []
+    assert value(r, "SeriesDate") is None and value(r, "PerformedProcedureStepStartDate") is None and value(r, "PatientWeight") is None
+    assert value(r, "ContentDate") == ["19991111"] and value(r, "AcquisitionDateTime") == ["19991111111111"]
     assert value(r, "LongitudinalTemporalInformationModified") == ["REMOVED"]
     assert [x["values"][0] for k, x in r.items() if k[1] == "CodeValue"] == ["113100"]
 
 
 def test_retained_values(spark):
-    r, _ = run(elements(spark, SAMPLE), -42, "StudyDate")
-    assert value(r, "StudyDate") == ["20191120"]
-    r, _ = run(elements(spark, SAMPLE), -42, "PatientAge")
-    assert value(r, "PatientAge") == ["049Y"] and value(r, "PatientBirthDate") == []
-    r, _ = run(elements(spark, SAMPLE), 0, "StudyDate, SOPInstanceUID, NoSuchKeyword, StudyInstanceUID")
-    assert value(r, "StudyDate") == ["20200101"]
-    assert value(r, "SOPInstanceUID") == ["1.2.3.4.5.6"]
-    assert value(r, "StudyInstanceUID")[0].startswith("2.25.")  # always remapped
+    r, _ = run(elements(spark, SAMPLE), 100, "AcquisitionDate")
+    assert value(r, "AcquisitionDate") == ["20240116"]
+    r, _ = run(elements(spark, SAMPLE), 100, "PatientWeight")
+    assert value(r, "PatientWeight") == ["71"] and value(r, "PatientSex") == []
+    r, _ = run(elements(spark, SAMPLE), 0, "AcquisitionDate, SOPInstanceUID, NoSuchKeyword, StudyInstanceUID")
+    assert value(r, "AcquisitionDate") == ["20231008"] and value(r, "SOPInstanceUID") == [SOP]
+    assert value(r, "StudyInstanceUID")[0].startswith("2.25.") and value(r, "StudyInstanceUID") != ["2.25.501"]  # always remapped
 
 
 def test_basic_profile_actions(spark):
-    notes = ("30100080", "PrescriptionNotesSequence", 0)
-    graphic = ("00700001", "GraphicAnnotationSequence", 0)
+    device = ("30100080", "PrescriptionNotesSequence", 0)
+    request = ("00400275", "RequestAttributesSequence", 0)
     rows = [
-        ((), "0040A120", "DateTime", "DT", ["20240101120000"]),
-        ((), "04000100", "DigitalSignatureUID", "UI", ["1.2.3.4.5"]),
-        ((), "30100080", "PrescriptionNotesSequence", "SQ", []), ((notes,), "00080104", "CodeMeaning", "LO", ["Miller"]),
-        ((), "00700001", "GraphicAnnotationSequence", "SQ", []), ((graphic,), "00700006", "UnformattedTextValue", "ST", ["Miller"]),
-        ((), "00420011", "EncapsulatedDocument", "OB", []), ((), "0072006D", "SelectorUNValue", "UN", []),
-        ((), "00090010", None, "LO", ["TEST"]), ((), "60003000", "OverlayData", "OW", []),
-        ((), "00080008", "ImageType", "CS", ["A", "B"]),
+        ((), "00081195", "TransactionUID", "UI", ["2.25.88"]), ((), "0040A13A", "ReferencedDateTime", "DT", ["20220202020202"]),
+        ((), "30100080", "PrescriptionNotesSequence", "SQ", []), ((device,), "00080104", "CodeMeaning", "LO", ["Okafor"]),
+        ((), "00400275", "RequestAttributesSequence", "SQ", []), ((request,), "00400007", "ScheduledProcedureStepDescription", "LO", ["Okafor"]),
+        ((), "0072006D", "SelectorUNValue", "UN", []), ((), "00420011", "EncapsulatedDocument", "OB", []),
+        ((), "00131010", None, "LO", ["OWN"]), ((), "50003000", "CurveData", "OW", []), ((), "00280004", "PhotometricInterpretation", "CS", ["RGB"]),
     ]
-    r, out = run(elements(spark, rows, binary={"EncapsulatedDocument": bytearray(b"%PDF"), "SelectorUNValue": bytearray(b"\1\2")}), identity=False)
-    assert value(r, "DateTime") == ["19991111111111"]
-    assert value(r, "DigitalSignatureUID")[0] not in (None, "1.2.3.4.5")
-    assert value(r, "PrescriptionNotesSequence") == []
-    assert value(r, "GraphicAnnotationSequence") is None
-    assert not any("Miller" in (x["values"] or []) for x in out)
-    for k in ("EncapsulatedDocument", "SelectorUNValue"):
-        assert bytes(r[((), k)]["bin"]) == bytes(8)
-    assert not any(x["tag"] in ("00090010", "60003000") for x in out)
-    assert value(r, "ImageType") == ["A", "B"]
-    r, _ = run(elements(spark, rows[:1]), plan=D.ActionPlan.default(D.Profile(dates="modified")), identity=False)
-    assert value(r, "DateTime") == ["20240101120000"]
+    r, out = run(elements(spark, rows, binary={"EncapsulatedDocument": bytearray(b"x"), "SelectorUNValue": bytearray(b"yz")}), identity=False)
+    assert value(r, "ReferencedDateTime") == ["19991111111111"]
+    assert value(r, "TransactionUID")[0] not in (None, "2.25.88")
+    assert value(r, "PrescriptionNotesSequence") == [] and value(r, "RequestAttributesSequence") is None
+    assert not any("Okafor" in (x["values"] or []) for x in out)
+    assert {bytes(r[((), k)]["bin"]) for k in ("EncapsulatedDocument", "SelectorUNValue")} == {bytes(8)}
+    assert not any(x["tag"] in ("00131010", "50003000") for x in out)
+    assert value(r, "PhotometricInterpretation") == ["RGB"]
+    r, _ = run(elements(spark, rows[1:2]), plan=D.ActionPlan.default(D.Profile(dates="modified")), identity=False)
+    assert value(r, "ReferencedDateTime") == ["20220202020202"]
 
 
 def test_retained_sequences_and_first_value(spark):
@@ -208,8 +194,8 @@ def test_key_is_replaced_and_a_leak_is_seen(spark):
     header = D.header_of(df).withColumn("days", F.lit(-42))
     after = D.deidentify(df, header)
     mapping = D.result_uids(header).first()
-    assert {r["sop_instance_uid"] for r in after.collect()} == {mapping["new_sop_instance_uid"]} != {"1.2.3.4.5.6"}
-    leaky = after.withColumn("sop_instance_uid", F.lit("1.2.3.4.5.6"))
+    assert {r["sop_instance_uid"] for r in after.collect()} == {mapping["new_sop_instance_uid"]} != {SOP}
+    leaky = after.withColumn("sop_instance_uid", F.lit(SOP))
     assert D.surviving_values(df, leaky, ["SOPInstanceUID"]).count() == 1
     kept = D.deidentify(df, header, retain="SOPInstanceUID")
-    assert {r["sop_instance_uid"] for r in kept.collect()} == {"1.2.3.4.5.6"}
+    assert {r["sop_instance_uid"] for r in kept.collect()} == {SOP}
