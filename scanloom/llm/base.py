@@ -21,7 +21,7 @@ BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 WORD = "[^\\x20\\x09-\\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LOWERED = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:

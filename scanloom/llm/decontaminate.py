@@ -8,15 +8,13 @@ documents are scanned by whole blocks of texts, and only q-grams that some item
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import BLOCK_BYTES, LOWERED, cut, documents, fresh, pieces, spans_hash
+from scanloom.llm.base import BLOCK_BYTES, LOWERED, documents, fresh, pieces, spans_hash
 
 # Parameters: q, edits per code unit of an item in hundredths, shortest item that can be looked for, and the most
 # bytes of items that one scan of the documents carries to the tasks; more items are dealt into more scans.
@@ -24,12 +22,32 @@ Q = 8
 EDIT_PERCENT = 10
 LEAST = 24
 INDEX_BYTES = 8 << 20
-_RUN = re.compile(rb"[\x00-\x20]+")
+_PLAIN = bytes(32 if b < 32 else LOWERED[b] for b in range(256))
 
 
 def normal(text: str | None) -> bytes:
     """A-Z lower-cased, runs of blanks and control characters as one space, UTF-8."""
-    return _RUN.sub(b" ", (text or "").encode().translate(LOWERED)).strip(b" ")
+    return b" ".join((text or "").encode().translate(_PLAIN).split())
+
+
+def grams(text: bytes, q: int) -> np.ndarray:
+    """The q-gram at each place as a number: its bytes where they fit into one, else a hash."""
+    n = len(text) - q + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    if q > 8:
+        at = np.arange(n)
+        return spans_hash(np.frombuffer(text, np.uint8).astype(np.uint64), at, at + q, 0x9E3779B97F4A7C15)
+    room = text + bytes(8)
+    out = np.empty(n, np.uint64)
+    for k in range(min(8, n)):
+        part = out[k::8]
+        part[:] = np.frombuffer(room, "<u8", len(part), k)
+    return out & np.uint64((1 << 8 * q) - 1)
+
+
+def _slot(keys: np.ndarray) -> np.ndarray:
+    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64)
 
 
 def edits_allowed(m: int, q: int = Q, percent: int = EDIT_PERCENT) -> int:
@@ -73,19 +91,17 @@ class Index:
     def __init__(self, items: list[tuple[int, str]], q: int, percent: int, least: int):
         self.q = q
         self.items = [(i, t) for i, text in items if len(t := normal(text)) >= least]
-        grams, owners, offsets = [], [], []
+        held, owners, offsets = [], [], []
         for k, (_, t) in enumerate(self.items):
-            codes = np.frombuffer(t, np.uint8).astype(np.uint64)
-            at = np.arange(len(t) - q + 1)
-            grams.append(spans_hash(codes, at, at + q, 0x9E3779B97F4A7C15))
-            owners.append(np.full(len(at), k))
-            offsets.append(at)
+            held.append(grams(t, q))
+            owners.append(np.full(len(held[-1]), k))
+            offsets.append(np.arange(len(held[-1])))
         none = np.zeros(0, np.int64)
-        keys = np.concatenate([*grams, none.astype(np.uint64)])
+        keys = np.concatenate([*held, none.astype(np.uint64)])
         order = np.argsort(keys, kind="stable")
         self.keys, self.owner, self.offset = keys[order], np.concatenate([*owners, none])[order], np.concatenate([*offsets, none])[order]
         self.bits = np.zeros(1 << 24, bool)
-        self.bits[(self.keys >> np.uint64(40)).astype(np.int64)] = True
+        self.bits[_slot(self.keys)] = True
         sizes = np.array([len(t) for _, t in self.items], np.int64)
         self.budget = np.array([edits_allowed(m, q, percent) for m in sizes.tolist()], np.int64)
         self.bound = np.maximum(sizes - q + 1 - self.budget * q, 1)
@@ -99,10 +115,9 @@ class Index:
         if not self.items or len(joined) <= self.q:
             return []
         starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in plain])))
-        at = np.arange(len(joined) - self.q)
-        grams = spans_hash(np.frombuffer(joined, np.uint8).astype(np.uint64), at, at + self.q, 0x9E3779B97F4A7C15)
-        at = at[self.bits[(grams >> np.uint64(40)).astype(np.int64)]]
-        low, high = (np.searchsorted(self.keys, grams[at], side) for side in ("left", "right"))
+        here = grams(joined, self.q)
+        at = np.flatnonzero(self.bits[_slot(here)])
+        low, high = (np.searchsorted(self.keys, here[at], side) for side in ("left", "right"))
         n = high - low
         at, low, n = at[n > 0], low[n > 0], n[n > 0]
         if not len(at):
@@ -119,8 +134,14 @@ class Index:
         of ``width`` diagonals lies in one of them."""
         width = self.budget[item] + 1
         band = diagonal // width
-        rows = np.concatenate([np.stack([text, item, band], 1), np.stack([text, item, band - 1], 1)])
-        rows, counts = np.unique(rows, axis=0, return_counts=True)
+        pair = (text * len(self.items) + item).astype(np.uint64) << np.uint64(31)
+        shift = 1 - min(int(band.min()), 0)  # bands count from -1 on; an item may begin before its text does
+        low = (band + shift).astype(np.uint64)
+        keys = np.sort(np.concatenate([pair + low, pair + low - np.uint64(1)]))
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        counts, keys = np.diff(np.append(first, len(keys))), keys[first]
+        pair, band = (keys >> np.uint64(31)).astype(np.int64), (keys & np.uint64((1 << 31) - 1)).astype(np.int64) - shift
+        rows = np.stack([pair // len(self.items), pair % len(self.items), band], 1)
         rows = rows[counts >= self.bound[rows[:, 1]]]
         found: dict[tuple[int, int], tuple[int, int, int]] = {}
         for d, k, b in rows.tolist():
@@ -170,7 +191,7 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         def run(batches, items=items):
             index = Index(items.value, q, percent, least)
             for batch in batches:
-                for piece in pieces(batch, text_at, BLOCK_BYTES // 2):
+                for piece in pieces(batch, text_at, BLOCK_BYTES):
                     earlier = piece.column(piece.num_columns - 1).to_pylist()
                     for d, i, edits, start, end in index.hits(piece.column(text_at).to_pylist()):
                         earlier[d] = [*(earlier[d] or []), {"item_id": i, "edits": edits, "start_byte": start, "end_byte": end}]

@@ -89,7 +89,7 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         names, a, _ = _low_high(keys, low)
         return names, a, _low_high(keys, high)[2]
 
-    held = blocks.groupBy("block").applyInArrow(anchors, "anchor long, block int, several boolean").repartition("anchor")
+    held = blocks.groupBy("block").applyInArrow(anchors, "anchor long, block int, several boolean").filter("anchor is not null").repartition("anchor")
     repeated = held.groupBy("anchor").agg(F.min("block").alias("a"), F.max("block").alias("b"), F.max("several").alias("c")).filter("a < b or c").select("anchor")
     # Both uses of a dealt table need all its columns, so one shuffle serves them.
     told = held.join(repeated, "anchor").select(F.when(F.col("several").isNotNull(), F.col("block")).alias("block"), "anchor")
@@ -111,7 +111,7 @@ def factors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
         spot = np.minimum(np.searchsorted(known, values), len(known) - 1)
         return np.flatnonzero(known[spot] == values)
 
-    index = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(candidates, "hash long, block int, low long, high long").repartition("hash")
+    index = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(candidates, "hash long, block int, low long, high long").filter("hash is not null and high is not null").repartition("hash")
     owners = index.groupBy("hash").agg(F.min("low").alias("owner"), F.max("high").alias("last"), F.max("block").alias("any")).filter("owner < last and any is not null").select("hash", "owner")
     answers = index.join(owners, "hash").filter("owner < high").select("block", "hash", F.least("owner", "low").alias("owner"))
 
