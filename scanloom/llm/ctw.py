@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from scanloom.llm.base import LOWERED, Words, crc_fold, documents, halves, in_blocks, pieces, scratch, signed
 
 DEPTH = 4
-BLOCK = 16 << 20
+BLOCK = 8 << 20
 HELD_OUT = 1
 TOKENS, GRAMS = 0, 1
 LOG_HALF = np.log(0.5)
@@ -67,6 +67,27 @@ def tally(values: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nda
     return values[first], np.diff(np.append(first, len(values))) if weights is None else np.add.reduceat(weights, first)
 
 
+class Places:
+    """Places of values in sorted keys that hold them, by a table of hash slots."""
+
+    def __init__(self, keys: np.ndarray):
+        self.keys = keys
+        self.shift = np.uint64(64 - max(16, int(4 * len(keys)).bit_length()))
+        self.table = np.zeros(1 << (64 - int(self.shift)), np.int32)
+        self.table[self._slot(keys)] = np.arange(len(keys), dtype=np.int32)
+
+    def _slot(self, values: np.ndarray) -> np.ndarray:
+        return ((values * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def of(self, values: np.ndarray) -> np.ndarray:
+        if not len(values):
+            return np.zeros(0, np.int64)
+        at = self.table[self._slot(values)]
+        other = np.flatnonzero(self.keys[at] != values)  # another key has the slot
+        at[other] = np.searchsorted(self.keys, values[other])
+        return at
+
+
 def _tokens(texts: list) -> tuple[Words, np.ndarray]:
     words = Words(texts, lower=True)
     return words, words.hashes() if len(words.starts) else np.zeros(0, np.uint64)
@@ -81,7 +102,11 @@ def _tallies(texts: list, train: np.ndarray, depth: int) -> dict[int, tuple[np.n
     """By kind: all words and byte sequences of the texts, and how often they occur in texts that teach."""
     words, hashes = _tokens(texts)
     found, doc = grams(texts, depth)
-    return {TOKENS: tally(hashes, train[words.doc].astype(np.int64)), GRAMS: tally(found, train[doc].astype(np.int64))}
+    out = {}
+    for kind, values, teaches in ((TOKENS, hashes, train[words.doc]), (GRAMS, found, train[doc])):
+        rest, _ = tally(values[~teaches])
+        out[kind] = _summed([tally(values[teaches]), (rest, np.zeros(len(rest), np.int64))])
+    return out
 
 
 def _rows(tallies: dict[int, tuple[np.ndarray, np.ndarray]], **constant: int) -> pa.Table:
@@ -257,18 +282,21 @@ def score(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str
         own = []
         for part in parts:
             words, hashes = _tokens(part.column(1).to_pylist())
-            own.append(tally(hashes, np.array(part.column(3).to_pylist(), np.int64)[words.doc]))
+            teaches = np.array(part.column(3).to_pylist(), bool)[words.doc]
+            rest, _ = tally(hashes[~teaches])
+            own += [tally(hashes[teaches]), (rest, np.zeros(len(rest), np.int64))]
         here, count_here = _summed(own) if own else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
         count_here = count_here.astype(float)
         count_here[np.searchsorted(here, names)] = numbers
+        word_place, byte_place = Places(here), Places(sequences)
         out = []
         for part in parts:
             texts = part.column(1).to_pylist()
             n = len(texts)
             words, hashes = _tokens(texts)
-            c = count_here[np.searchsorted(here, hashes)]
+            c = count_here[word_place.of(hashes)]
             found, doc = grams(texts, depth)
-            chance = chances[np.searchsorted(sequences, found)]
+            chance = chances[byte_place.of(found)]
             n_tokens = words.counts + 1
             base = np.bincount(words.doc, np.log10(c + 0.5), minlength=n) + np.log10(n_end + 0.5) - n_tokens * norm
             known = np.bincount(words.doc[c > 0], minlength=n) + int(n_end > 0)
