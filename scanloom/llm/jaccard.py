@@ -177,7 +177,7 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = cut(_members(docs, id_col, text_col, size).withColumn("node", node))
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("node").alias("first"), F.min("n_shingles").alias("n"))
 
-    keys = _keys(docs, text_col, size, percent).filter("key is not null").repartition("key")
+    keys = _keys(docs, text_col, size, percent).filter("key is not null and class is not null and code is not null").repartition("key")
     # Both uses of the dealt keys need all their columns and no null, so one shuffle serves them.
     common = keys.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high"), F.count("*").alias("n"), F.max("code").alias("any")).filter("low < high and any is not null").select("key", "n")
     shared = keys.join(common, "key").distinct()
