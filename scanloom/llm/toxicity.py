@@ -36,13 +36,23 @@ HIDDEN = "​‌‍⁠﻿"
 SEPARATORS = " \t._-*|/,~"
 SUBSTITUTED, SKIPPED, STRETCHED, SPLIT = -1.5, -0.4, -0.3, -2.5
 
+# Marks that may stand around a word, and those of them that may as well be its first or last letters.
+PUNCTUATION = ",.;:!?\"'()#%&"
+MARKS = PUNCTUATION + "".join(c for c in LOOKS if not c.isalnum() and c not in PUNCTUATION)
+# Up to so many marks on one side of a word are tried one by one as letters; of longer runs also all.
+MARKS_TRIED = 6
+
 _LEET = re.escape("".join(LOOKS))
+_SINGLE = "a-z" + re.escape("".join(c for c in LOOKS if c not in SEPARATORS))
 _SUSPICIOUS = re.compile(
-    f"[a-z][{_LEET}]+[a-z]"                                     # m0ron
-    f"|(?<!\\S)[{_LEET}][a-z]"                                  # $cum
+    f"(?<![^\\W_])[{_SINGLE}](?:[ \\t._\\-*|/,~]{{1,3}}[{_SINGLE}](?![{_SINGLE}])){{2,}}"  # i d 1 o t
+    # a token with a look-alike anywhere: m0ron, $cum, idio7; or of look-alikes alone: @$$
+    f"|(?<!\\S)(?=\\S*?[{_LEET}])(?:[^\\sa-z]*[a-z]\\S*|[{_LEET}{re.escape(MARKS + SEPARATORS.strip())}{HIDDEN}]+(?!\\S))"
     r"|([a-z])\1\1"                                             # idiooot
-    r"|(?<![^\W_])[a-z](?:[ \t._\-*|/,~]{1,3}[a-z](?![a-z])){2,}"  # i d i o t
     f"|[{HIDDEN}]")
+_LETTER = re.compile("[a-z]")
+_OUTSIDE = "".join(c for c in PUNCTUATION if c not in LOOKS)
+_BLANK = re.compile(r"\s")
 _STRETCH = re.compile(r"(.)\1\1+", re.S)
 # A word is a run of a-z and of characters beyond ASCII.
 _WORD = re.compile("[a-z\x80-\U0010ffff]+")
@@ -89,6 +99,7 @@ class Channel:
     def __init__(self, counts: np.ndarray, expected: Iterable[str] = ()):
         grams = counts.reshape(27, 27, 27).copy()
         expected = [w for w in expected if re.fullmatch("[a-z]+", w)]
+        self.expected = set(expected)
         weight = max(grams.sum(), 1) / (200 * max(len(expected), 1))
         for word in expected:  # words that the channel is known to disguise
             s = [0, 0, *map(_symbol, word), 0]
@@ -100,6 +111,7 @@ class Channel:
         p3 = (grams + 20 * p2[None]) / (grams.sum(2, keepdims=True) + 20)
         self.log = np.log(p3).tolist()
         self.known: dict[str, str] = {}
+        self.sets: dict[str, set[str]] = {}
 
     def decode(self, span: str) -> str:
         """Likeliest source of a span, words parted by one space."""
@@ -110,6 +122,27 @@ class Channel:
             got = self.known[span] = self._viterbi(span)
         return got
 
+    def words(self, span: str) -> set[str]:
+        """Words of all readings of a span. A single look-alike is no word."""
+        got = self.sets.get(span)
+        if got is None:
+            if len(self.sets) > 50_000:
+                self.sets.clear()
+            got = self.sets[span] = {w for r in _readings(span) if len(r) > 1 or _LETTER.match(r) for w in self.decode(r).split()}
+        return got
+
+    def source(self, span: str) -> str:
+        """The source of a span: the first reading with an expected word, else the one without punctuation. What
+        nothing disguises stays as written, and so do numbers and marks in which no expected word is found."""
+        readings = _readings(span)
+        for reading in readings:
+            decoded = self.decode(reading)
+            if not self.expected.isdisjoint(decoded.split()):
+                return span if decoded == reading else decoded
+        if not readings or not _LETTER.search(span) or self.decode(readings[0]) == readings[0]:
+            return span
+        return self.decode(readings[0])
+
     def _viterbi(self, span: str) -> str:
         log = self.log
         states = {(0, 0): (0.0, None)}  # last two symbols -> score, path
@@ -152,20 +185,36 @@ class Channel:
 
 
 def _spans(text: str) -> Iterable[tuple[int, int]]:
-    """Suspicious spans of a lower-cased text, widened to whole words, without trailing marks."""
+    """Suspicious spans of a lower-cased text, widened to whole words."""
     end = 0
     for m in _SUSPICIOUS.finditer(text):
         if m.end() <= end:
             continue
-        left = max(text.rfind(" ", end, m.start()), text.rfind("\n", end, m.start())) + 1
-        left = max(left, end)
-        stops = [x for x in (text.find(" ", m.end()), text.find("\n", m.end())) if x >= 0]
-        end = min(stops, default=len(text))
+        left = max(*(text.rfind(c, end, m.start()) for c in " \n\t\r"), end - 1) + 1
+        stop = _BLANK.search(text, m.end())
+        end = stop.start() if stop else len(text)
         yield left, end
 
 
-def _bare(span: str) -> str:
-    return span.strip(",.;:!?\"'()#%&")
+def _cuts(n: int) -> list[int]:
+    return [*range(min(n, MARKS_TRIED) + 1), *([n] if n > MARKS_TRIED else [])]
+
+
+def _readings(span: str) -> list[str]:
+    """What may be the written word in a span: first the span without punctuation, then with any number of the marks
+    on both sides as letters ("(lown!" is lown, clown, clowni, lowni). A mark repeated there counts twice at most."""
+    body = span.strip(MARKS)
+    head, tail = span, ""
+    if body:
+        begin = len(span) - len(span.lstrip(MARKS))
+        head, tail = span[:begin], span[begin + len(body):]
+    head, tail = _STRETCH.sub(r"\1\1", head), _STRETCH.sub(r"\1\1", tail)
+    out = [span.strip(PUNCTUATION)]
+    for i in _cuts(len(head)):
+        first = head[len(head) - i:]
+        ends = tail if body else first
+        out += [((first + body + ends[:j]) if body else ends[:j]).strip(_OUTSIDE) for j in _cuts(len(ends))]
+    return [r for r in dict.fromkeys(out) if r]
 
 
 def restore(text: str, channel: Channel) -> str:
@@ -173,7 +222,7 @@ def restore(text: str, channel: Channel) -> str:
     text = text.lower()
     out, at = [], 0
     for start, end in _spans(text):
-        out += [text[at:start], channel.decode(_bare(text[start:end]))]
+        out += [text[at:start], channel.source(text[start:end])]
         at = end
     return "".join([*out, text[at:]])
 
@@ -185,7 +234,7 @@ def words_of(text: str | None, channel: Channel) -> set[str]:
     lower = text.lower()
     words = set(_WORD.findall(lower))
     for start, end in _spans(lower):
-        words.update(channel.decode(_bare(lower[start:end])).split())
+        words |= channel.words(lower[start:end])
     return words
 
 
@@ -205,7 +254,7 @@ def suspects(words: Words) -> np.ndarray:
     one[1:] &= ~letter[:-1]
     near = one & _ahead(one, 2, 3, 4)
     same = letter[:-1] & (codes[1:] == codes[:-1])
-    hit = (_LEET_BYTES[codes] & _ahead(letter, 1)) | (near & _ahead(near, 2, 3, 4)) | _FOREIGN[codes]
+    hit = _LEET_BYTES[codes] | (near & _ahead(near, 2, 3, 4)) | _FOREIGN[codes]
     hit[:-2] |= same[:-1] & same[1:]
     return np.unique(np.searchsorted(words.offsets, np.flatnonzero(hit), "right") - 1)
 
@@ -243,7 +292,7 @@ class Model:
             right = own[spot] == hashes[at] if len(own) else np.zeros(0, bool)
             found = [np.stack([words.doc[at[right]], spot[right]], 1).astype(np.int64)]
             for d in suspects(words).tolist():
-                extra = {w for a, b in _spans(lower[d]) for w in channel.decode(_bare(lower[d][a:b])).split()}
+                extra = {w for a, b in _spans(lower[d]) for w in channel.words(lower[d][a:b])}
                 found += [np.array([[d, place[w]]]) for w in extra if w in place]
             pairs = np.unique(np.concatenate(found), axis=0)
             total = np.bincount(pairs[:, 0], values[pairs[:, 1]], minlength=len(texts)) if len(pairs) else np.zeros(len(texts))

@@ -38,3 +38,23 @@ def test_edge_cases(spark, model):
     none = X.fit(docs.limit(0), X.documents(spark, SF, "labels").limit(0))
     assert [r.predicted for r in X.score(docs.select("doc_id", "text"), none).collect()] == [0, 0, 0, 0]
     assert X.score(docs.limit(0), model).count() == 0
+
+
+PLACES = {
+    "57upid": "stupid", "10ser": "loser", "idio7": "idiot", "worthle$$": "worthless", "a55": "ass", "@$$": "ass", "455": "ass", "!diot": "idiot", "(lown": "clown",
+    "(!diot)": "idiot", "\"(lown!\",": "clown", "1d10t!!": "idiot", "m0r0n*": "moron", "a$$$": "ass", "1 d i 0 7": "idiot", "(1own(": "clown",
+}
+
+
+def test_look_alikes_at_any_place(model):
+    channel = X.Channel(model.counts, {*PLACES.values()})
+    assert {k: v in X.words_of(f"you {k} now", channel) for k, v in PLACES.items()} == dict.fromkeys(PLACES, True)
+    assert {k: X.restore(f"you {k}\tnow", channel) for k in PLACES} == {k: f"you {v}\tnow" for k, v in PLACES.items()}
+    same = "now! (see that) | 1234 5 6 7\t$100 10% of!! (рука сор) 3.14 !!!"
+    assert X.restore(same, channel) == same
+
+
+def test_look_alikes_in_blocks(model):
+    known = X.Model(model.counts, {w: 2.0 for w in PLACES.values()}, -1.0)
+    texts = [f"see {k}" for k in PLACES] + ["(!@" * 3000, "!" * 5000, "see 2024"]
+    assert np.allclose(known.scorer()(texts), [known.score(X.words_of(t, known.channel())) for t in texts])
