@@ -30,12 +30,9 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group: sets of five-word shingles, similarity of 0.8 or more.
 
-    Documents without words are in no group and stay. Rows that repeat a kept id all stay."""
-    groups = jaccard.near_components(docs, size=5, percent=80)
-    leads = F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))
-    kept = groups.filter(leads | (F.col("n_shingles") == 0)).select("doc_id").distinct()
-    on = docs["doc_id"].eqNullSafe(kept["doc_id"])
-    return docs.join(kept, on, "left_semi")
+    Rows without words are in no group and stay. Ids do not link: rows without id, and unlike texts under one id, are
+    documents of their own. Rows that repeat id and set of a kept document all stay."""
+    return jaccard.drop_copies(docs, size=5, percent=80)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

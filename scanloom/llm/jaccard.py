@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import LOWER, UPPER, Words, cut, documents, lists, map_texts, mix, scratch, signed, spans_hash, windows
+from scanloom.llm.base import LOWER, UPPER, Words, cut, documents, fresh, lists, map_texts, mix, scratch, signed, spans_hash, windows
 from scanloom.llm.components import components
 
 NO_ID = (1 << 63) - 1
@@ -97,7 +97,7 @@ def sketch_keys(own: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(codes)
 
 
-def _members(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+def _members(docs: DataFrame, id_col: str, text_col: str, size: int, keep: tuple[str, ...] = ()) -> DataFrame:
     def make():
         def work(texts):
             own = sets_of(texts, size)
@@ -105,7 +105,7 @@ def _members(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
         return work
 
-    return map_texts(docs, text_col, [id_col], [T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType())], make)
+    return map_texts(docs, text_col, [id_col, *keep], [T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType())], make)
 
 
 def _keys(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
@@ -164,17 +164,18 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, siz
     return two.mapInArrow(run, "a long, b long")
 
 
-def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85) -> DataFrame:
-    """``id_col``, ``n_shingles``, ``component_id`` for every row: the smallest id reachable by links.
+def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 4, percent: int = 85, keep: tuple[str, ...] = (), class_name: str | None = None) -> DataFrame:
+    """``id_col``, columns ``keep``, ``n_shingles``, ``component_id`` for every row: the smallest id reachable by links.
 
     Two documents link when their sets of ``size``-word shingles (A-Z lower-cased) have 100 * intersection >=
     ``percent`` * union. A text with fewer words is one shingle; a null text or one without words has none and links
     with nothing. Copies are one class and need no pairs. Rows that repeat an id are one document. Rows without id
     count as one document after all others; a component of such rows alone has a null id. Empty table: no rows.
+    ``class_name`` adds a hash of the set, equal for equal sets, null for none.
     """
     spark = docs.sparkSession
     node = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
-    members = cut(_members(docs, id_col, text_col, size).withColumn("node", node))
+    members = cut(_members(docs, id_col, text_col, size, keep).withColumn("node", node))
     classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("node").alias("first"), F.min("n_shingles").alias("n"))
 
     keys = _keys(docs, text_col, size, percent).filter("key is not null and class is not null and code is not null").repartition("key")
@@ -215,7 +216,31 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         found = components(links.union(more))
     joined = members.join(classes.select("class", "first"), "class", "left").join(found.withColumnRenamed("node", "first"), "first", "left")
     component = F.coalesce("component", "first", "node")
-    return joined.select(id_col, "n_shingles", F.when(component != NO_ID, component).alias("component_id"))
+    own = [F.col("class").alias(class_name)] if class_name else []
+    return joined.select(id_col, *keep, *own, "n_shingles", F.when(component != NO_ID, component).alias("component_id"))
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
+    """One document of each group that links make, the one with the smallest id (null ids last), and all rows without
+    words. A document is the rows of one id with equal sets, all of which stay or go; a row without id is one by itself.
+
+    Ids do not link: unlike texts under one id, or without id, are apart. For the links, rows are named by a 64-bit hash
+    of all columns; of rows without id that agree in all columns, one stays."""
+    row, class_, copies = fresh(docs, "row", "class", "copies")
+    named = docs.withColumn(row, F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)))
+    groups = near_components(named, row, text_col, size, percent, keep=(id_col,), class_name=class_)
+    rows = cut(groups.groupBy(row, id_col, class_, "component_id").agg(F.count("*").alias(copies)))
+    nameless = F.col(id_col).isNull()
+    first = F.min(F.struct(nameless.alias("last"), id_col, class_, F.when(nameless, F.col(row)).alias(row), F.when(nameless, F.col(copies)).alias(copies)))
+    leads = cut(rows.filter(F.col(class_).isNotNull()).groupBy("component_id").agg(first.alias("lead")).select("lead.*"))
+    kept = rows.filter(F.col(class_).isNull()).select(row).union(
+        rows.join(leads.filter(~nameless).select(id_col, class_), [id_col, class_], "left_semi").select(row)).union(
+        leads.filter(F.col(copies) == 1).select(row))
+    out = named.join(kept, row, "left_semi")
+    several = leads.filter(F.col(copies) > 1).select(row)
+    if not several.isEmpty():
+        out = out.unionByName(named.join(several, row, "left_semi").dropDuplicates([row]))
+    return out.select(*docs.columns)
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

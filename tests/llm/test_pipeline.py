@@ -85,3 +85,22 @@ def test_run(spark):
     rows = P.run(spark, sf).collect()
     given = spark.read.parquet(f"{sf}/documents.parquet").count()
     assert 0.4 * given < len(rows) < given and all(r.n_tokens == len(r.ids) for r in rows)
+
+
+def near(k):
+    return prose(k).replace(prose(k).split()[30], "other")
+
+
+def test_near_duplicates_by_row(spark):
+    """Ids that are null or repeated do not take other texts with them; one document of each group stays."""
+    rows = [
+        (1, prose(1)), (None, near(1)), (None, prose(2)), (None, prose(3)), (None, near(3)), (5, prose(5)), (7, near(5)), (7, prose(7)), (8, near(7)),
+        (9, prose(9)), (9, prose(9)), (9, prose(10)), (None, prose(11)), (None, prose(11)), (12, None), (None, ""), (None, ""), (12, " "),
+        (20, prose(20)), (20, near(20)),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], SCHEMA)
+    got = [(r.doc_id, r.text) for r in P.drop_near_duplicates(spark, docs, "").collect()]
+    one_of = [r for r in got if r in {(None, prose(3)), (None, near(3))}]
+    one_of += [r for r in got if r[0] == 20]
+    rest = [(1, prose(1)), (None, prose(2)), (5, prose(5)), (7, prose(7)), (9, prose(9)), (9, prose(9)), (9, prose(10)), (None, prose(11)), (12, None), (None, ""), (None, ""), (12, " ")]
+    assert [r[0] for r in one_of] == [None, 20] and sorted(map(repr, got)) == sorted(map(repr, rest + one_of))
