@@ -61,11 +61,12 @@ def with_anchors(df: DataFrame, text: Column | str, into: str = "anchors") -> Da
 
 def with_edited_anchors(df: DataFrame, anchors: str, kept: Column, edited: Column, into: str) -> DataFrame:
     """Anchors of a text that shares its first ``kept`` words with one whose ``anchors`` are known. Those of k-mers
-    inside the shared words are the same; only what follows is computed."""
+    inside the shared words are the same; only what follows is computed. A stand-in for the whole sequence is none."""
     w, s, k = fresh(df, "_w", "_s", "_k")
     out = df.withColumns({w: words_of(edited), k: F.greatest(kept - (K - 1), F.lit(0))})
     out = with_syncmers(out, F.slice(w, F.col(k) + 1, F.greatest(F.size(w) - F.col(k), F.lit(0))), s)
-    same = F.when(F.col(k) > 0, F.filter(anchors, lambda a: a["pos"] < F.col(k))).otherwise(F.slice(anchors, 1, 0))
+    begin = F.xxhash64(*[F.xxhash64(F.get(w, F.lit(j))) for j in range(K)])  # shared where anything is taken over
+    same = F.when(F.col(k) > 0, F.filter(anchors, lambda a: (a["pos"] < F.col(k)) & ((a["pos"] > 0) | (a["hash"] == begin)))).otherwise(F.slice(anchors, 1, 0))
     moved = F.transform(s, lambda a: F.struct((a["pos"] + F.col(k)).alias("pos"), a["hash"].alias("hash")))
     return out.withColumn(s, F.concat(same, moved)).withColumn(into, or_whole(F.col(s), F.col(w))).drop(w, s, k)
 

@@ -60,3 +60,15 @@ def test_small_tables(spark):
 def test_plan_has_no_python(spark):
     plan = X.with_anchors(spark.createDataFrame([(1, "a")], "doc_id long, text string"), "text")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_edit_in_the_sixth_word(spark, tmp_path):
+    """A stand-in for six words without a syncmer is not taken over when the sixth is edited."""
+    rows = [(i, " ".join(f"{c}{i}" for c in "abcde") + " " + f"f{i}" * 12) for i in range(60)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in X.op1(spark, str(tmp_path)).collect()}
+    edited = [(i, t[:len(t) - len(t) // 3] + rows[i - 1][1][:len(t) // 3]) for i, t in rows]
+    direct = X.with_anchors(spark.createDataFrame(edited, "doc_id long, text string"), "text").select("doc_id", X.fingerprint(F.col("anchors")).alias("f"))
+    assert {r.doc_id: r.f for r in direct.collect()} == {i: r.edited_fingerprint for i, r in got.items()}
+    wholes = X.with_anchors(spark.createDataFrame(rows, "doc_id long, text string"), "text").select("doc_id", (F.col("anchors")[0]["hash"] == F.xxhash64(X.words_of(F.col("text")))).alias("whole")).filter("whole").collect()
+    assert len(wholes) > 5 and all(got[r.doc_id].near_edited == 0 for r in wholes)
