@@ -12,7 +12,7 @@ from scanloom.operators import events as E
 from scanloom.operators import hl7, masking, outcomes, rtrepair
 from scanloom.operators import routing as R
 from scanloom.plans import derived  # noqa: F401
-from scanloom.plans.derived import _UUID
+from scanloom.plans.derived import _UUID, EVENT_OPERATOR, EVENT_TIME
 from scanloom.plans.queries_deid import path_text, value_text
 from scanloom.plans.queries_results import _GATE, _OUTCOME, _RGB, _UUID_RE, _chan
 from scanloom.plans.registry import QUERIES, query, table
@@ -47,7 +47,7 @@ _ADT_FAC = "CASE WHEN c_nationkey = 3 THEN '' ELSE '<MSH.4><HD.1>F' || CAST(c_na
 _ADT_EVENT = "CASE WHEN msg_id % 3 = 0 THEN 'A01' ELSE 'A04' END"
 _ADT_XML = f"""'<ADT_' || {_ADT_EVENT} || ' xmlns="urn:hl7-org:v2xml"><MSH><MSH.1>|</MSH.1><MSH.2>^~' || chr(92) || '&amp;</MSH.2><MSH.3><HD.1>HIS</HD.1></MSH.3>' || {_ADT_FAC} || '<MSH.5><HD.1>RIS</HD.1></MSH.5><MSH.6><HD.1>' || c_mktsegment
   || '</HD.1></MSH.6><MSH.7><TS.1>20200101000000</TS.1></MSH.7><MSH.9><CM_MSG.1>ADT</CM_MSG.1><CM_MSG.2>' || {_ADT_EVENT} || '</CM_MSG.2></MSH.9><MSH.10>C' || CAST(msg_id AS STRING) || '</MSH.10><MSH.11><PT.1>P</PT.1></MSH.11><MSH.12>'
-  || CASE WHEN msg_id % 2 = 0 THEN '2.3' ELSE '2.5' END || '</MSH.12></MSH><EVN><EVN.1>A04</EVN.1><EVN.2><TS.1>20010101000000</TS.1></EVN.2><EVN.5><CN.2>KIM</CN.2><CN.3>JO</CN.3></EVN.5></EVN><PID><PID.1>1</PID.1><PID.3><CX.1>'
+  || CASE WHEN msg_id % 2 = 0 THEN '2.3' ELSE '2.5' END || '</MSH.12></MSH><EVN><EVN.1>A04</EVN.1><EVN.2><TS.1>{EVENT_TIME}</TS.1></EVN.2><EVN.5><CN.2>{EVENT_OPERATOR[0]}</CN.2><CN.3>{EVENT_OPERATOR[1]}</CN.3></EVN.5></EVN><PID><PID.1>1</PID.1><PID.3><CX.1>'
   || CAST(msg_id AS STRING) || '</CX.1><CX.4><HD.1>HD</HD.1></CX.4></PID.3><PID.3><CX.1>X' || CAST(c_nationkey AS STRING) || '</CX.1></PID.3><PID.5><XPN.1>' || split_part(c_name, '#', 1) || '</XPN.1><XPN.2>' || split_part(c_name, '#', 2)
   || '</XPN.2><XPN.3>A&amp;B</XPN.3></PID.5></PID></ADT_' || {_ADT_EVENT} || '>'"""
 

@@ -11,6 +11,7 @@ from scanloom.functions.identifiers import uid_digest
 from scanloom.operators import documents, hl7, projections
 from scanloom.operators import routing as R
 from scanloom.plans import derived  # noqa: F401
+from scanloom.plans.derived import EVENT_TIME
 from scanloom.plans.registry import query
 from scanloom.plans.sqltext import blank, nested_document, uuid_text
 from scanloom.session import checkpoint_root
@@ -333,8 +334,8 @@ def _(t):
     return projections.media_types(t("inst")).select("sop_instance_uid", "media_type", "route")
 
 
-@query("c9_field_replacement", """SELECT msg_id, CASE WHEN msg_id % 3 <> 0 AND msg_id % 2 = 0 THEN 'success' ELSE 'failure' END AS route,
-  CASE WHEN msg_id % 3 <> 0 AND msg_id % 2 = 0 THEN replace(raw, 'EVN|A04|20010101000000|||^KIM', 'EVN|A04|20250108000000|20250116000000||^KIM') ELSE raw END AS raw FROM adt""")
+@query("c9_field_replacement", f"""SELECT msg_id, CASE WHEN msg_id % 3 <> 0 AND msg_id % 2 = 0 THEN 'success' ELSE 'failure' END AS route,
+  CASE WHEN msg_id % 3 <> 0 AND msg_id % 2 = 0 THEN replace(raw, 'EVN|A04|{EVENT_TIME}|||^', 'EVN|A04|20250108000000|20250116000000||^') ELSE raw END AS raw FROM adt""")
 def _(t):
     return hl7.planned_event(t("adt"), "20250116000000", "20250108000000").select("msg_id", "route", "raw")
 

@@ -5,7 +5,7 @@ import struct
 
 import pytest
 from pyspark.sql import functions as F
-from test_deid import SAMPLE, elements
+from test_deid import SAMPLE, SOP, elements
 
 from scanloom.operators import hl7
 from scanloom.sources import headerfiles, instances, messages, sinks
@@ -57,10 +57,10 @@ def test_header_files(spark, tmp_path):
 def test_instance_index(spark):
     df = elements(spark, SAMPLE)
     row = instances.index_of(df).first()
-    assert row["modality"] == "OT" and row["filename"] == "1.2.3.4.5.6.dcm" and len(row["hex_study"]) == 32
-    orders = spark.createDataFrame([("1.2.3.4.5.6", "o1", "shadowed")], "sop_instance_uid string, order_id string, patient_hint string")
+    assert row["modality"] == "OT" and row["filename"] == f"{SOP}.dcm" and len(row["hex_study"]) == 32
+    orders = spark.createDataFrame([(SOP, "o1", "shadowed")], "sop_instance_uid string, order_id string, patient_hint string")
     got = instances.retrieved_index(df, orders, ["order_id"]).first()
-    assert got["attrs"]["order_id"] == "o1" and got["attrs"]["study_uid"] == "1.2.3.4" and got["route"] == "success"
+    assert got["attrs"]["order_id"] == "o1" and got["attrs"]["study_uid"] == "2.25.501" and got["route"] == "success"
 
 
 def test_message_files(spark, tmp_path):
