@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scanloom.llm import bpe, ctw, decontaminate, fingerprints, jaccard, licenses, lines, quality, runs, substrings, toxicity
+from scanloom.llm import bpe, ctw, decontaminate, fingerprints, jaccard, licenses, lines, quality, runs, sequences, substrings, toxicity
 
 QUERIES = {
     "op1_fingerprints": fingerprints.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_license_scan": licenses.op9,
     "op10_quality": quality.op10,
     "op11_periodic_runs": runs.op11,
+    "op13_token_sequences": sequences.op13,
 }
 ORACLE: dict[str, str] = {
     "op2_line_dedup": lines.OP2_SQL,
