@@ -241,7 +241,8 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     dealt = F.pmod(F.xxhash64("item", "copy"), F.lit(query_blocks)).alias("part")
     grouped = weighed.groupBy(dealt).agg(F.collect_list(F.struct("item", "copy", "terms")).alias("queries"))
 
-    # Each block of documents meets each block of queries; queries are copied to as many keys as there are blocks.
+    # Each block of documents meets each block of queries; queries are copied to as many keys as there are blocks. The
+    # copies are never broadcast: their size grows with the index.
     keys = max(blocks, 1)
     left = index.select("*", F.pmod(F.xxhash64("block"), F.lit(keys)).alias("key"), F.explode(_upto(query_blocks)).alias("part"))
     flat = lambda name: F.flatten(F.transform("queries", lambda q: q["terms"][name]))
@@ -258,7 +259,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
                 yield pa.RecordBatch.from_arrays([row["items"].take(at), row["copies"].take(at), ids, scores], names=["item", "copy", "doc_id", "score"])
 
     kind = words.schema["item"].dataType.simpleString()
-    found = left.join(right, ["key", "part"]).select(*names).mapInArrow(run, f"item {kind}, copy string, doc_id long, score long")
+    found = left.hint("merge").join(right, ["key", "part"]).select(*names).mapInArrow(run, f"item {kind}, copy string, doc_id long, score long")
     best = Window.partitionBy("item", "copy").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(F.col("item").alias(query_id), "rank", "doc_id", "score")
 
