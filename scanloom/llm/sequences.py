@@ -4,33 +4,36 @@ Documents are put in ascending order of their id by one range shuffle; each part
 stream format with a footer, so any batch is found without reading those before it. A row is a sequence of a fixed number of ids
 (FixedSizeList), stored uncompressed: a memory map gives row r of a batch as a slice, without a copy. Two masks of the
 same length tell ids from padding and mark the last id of each document; padding stands only at the end of a file.
-Tasks write files under names of their own, and the commit alone puts those of the attempts that counted into the
-manifest, so a task that runs again leaves nothing to be read twice.
+Tasks write files under names of their own, and the manifest, written at the end, names those of the attempts that
+counted, so a task that runs again leaves nothing to be read twice.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from scanloom.llm.base import LOWERED, documents, fresh, map_texts, scratch
+from scanloom.llm.base import LOWERED, documents, fresh, map_texts, pieces, scratch
 
 LENGTH = 2048
 BATCH_ROWS = 64
-CACHE_BYTES = 48 << 20
+CACHE_BYTES = 40 << 20
 MANIFEST = "_manifest.json"
 _BETWEEN = re.compile(rb"(?<=[a-z0-9])(?=[.,;:!?])")
 _TOGETHER = 50
@@ -39,51 +42,63 @@ _TOGETHER = 50
 # --- encoding ---------------------------------------------------------------------------------------
 
 
+class _Ids:
+    """Ids of words, one after another; word 0 is the end of a document."""
+
+    def __init__(self, end: list[int]):
+        self.slots, self.bytes, self.filled = {}, 0, len(end)
+        self.flat, self.edges = np.zeros(1 << 16, np.uint32), array("q", [0, len(end)])
+        self.flat[:len(end)] = end
+
+    def add(self, words: list[bytes], ids: np.ndarray, sizes: list[int]) -> None:
+        if self.filled + len(ids) > len(self.flat):
+            self.flat = np.concatenate((self.flat[:self.filled], np.zeros(max(len(self.flat), 2 * len(ids)), np.uint32)))
+        self.flat[self.filled:self.filled + len(ids)] = ids
+        for w, size in zip(words, sizes):
+            self.slots[w] = len(self.edges) - 1
+            self.filled += size
+            self.edges.append(self.filled)
+            self.bytes += len(w) + 200 + 4 * size
+
+    def get(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words in ``slots`` and their sizes."""
+        edges = np.array(self.edges)
+        start, size = edges[slots], edges[slots + 1] - edges[slots]
+        total = np.cumsum(size)
+        return self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(start - (total - size), size)], size
+
+
 class WordEncoder:
-    """Ids of texts by the tokenizers library, which sees every different word once as long as the cache lasts.
+    """Ids of texts by the tokenizers library, which sees a word again only after the cache has forgotten it.
 
     For tokenizers that drop white space and split runs of letters, of digits and of other marks from each other (checked
     against whole texts in the tests): a text is its words, also with a space between a letter or digit and one of
     ``.,;:!?``, and A-Z count as a-z. Texts with ``<|``, which may begin a special token, go to the library whole.
+    Words are kept in two generations of about ``most`` bytes; those in use move on to the younger one.
     """
 
-    def __init__(self, tokenizer: str, most: int = CACHE_BYTES):
+    def __init__(self, tokenizer: str, end: list[int], most: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
-        self.library, self.most = Tokenizer.from_str(tokenizer), most
+        self.library, self.end, self.most = Tokenizer.from_str(tokenizer), end, most
         special = [(i, t.content) for i, t in self.library.get_added_tokens_decoder().items() if t.content.startswith("<|")]
         if not special:
             raise ValueError("the tokenizer has no special token that begins with <|")
         self.mark_id, self.mark = min(special)
-        self.clear()
+        self.young, self.old = _Ids(end), _Ids(end)
 
-    def clear(self) -> None:
-        self.slots, self.bytes, self.filled = {}, 0, 0
-        self.flat, self.ends = np.zeros(1 << 16, np.uint32), [0]
-
-    def learn(self, words: list[bytes]) -> None:
-        """Encode new words, ``_TOGETHER`` at a time with a special token after each; those with ``<|`` one by one."""
+    def _library(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, list[int]]:
+        """New words, ``_TOGETHER`` at a time with a special token after each; those with ``<|`` one by one."""
         plain = [w for w in words if b"<|" not in w]
         joined = ["".join(w.decode("utf-8") + self.mark for w in plain[i:i + _TOGETHER]) for i in range(0, len(plain), _TOGETHER)]
         ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False))])
         marks = np.flatnonzero(ids == self.mark_id)
-        parts, sizes = [np.delete(ids, marks)], (np.diff(marks, prepend=-1) - 1).tolist()
         alone = [w for w in words if b"<|" in w]
-        for w in alone:
-            parts.append(np.array(self.library.encode(w.decode("utf-8"), add_special_tokens=False).ids, np.uint32))
-            sizes.append(len(parts[-1]))
-        new = np.concatenate(parts)
-        if self.filled + len(new) > len(self.flat):
-            self.flat = np.concatenate((self.flat[:self.filled], np.zeros(max(len(self.flat), 2 * len(new)), np.uint32)))
-        self.flat[self.filled:self.filled + len(new)] = new
-        for w, size in zip(plain + alone, sizes):
-            self.slots[w] = len(self.ends) - 1
-            self.filled += size
-            self.ends.append(self.filled)
-            self.bytes += len(w) + 120 + 4 * size
+        parts = [np.array(self.library.encode(w.decode("utf-8"), add_special_tokens=False).ids, np.uint32) for w in alone]
+        return plain + alone, np.concatenate([np.delete(ids, marks), *parts]), (np.diff(marks, prepend=-1) - 1).tolist() + [len(x) for x in parts]
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts one after another, and how many each has. Null counts as empty."""
+        """Ids of all texts one after another, each with the end, and how many each has. Null counts as empty."""
         words = []
         for text in texts:
             raw = (text or "").encode("utf-8")
@@ -91,15 +106,28 @@ class WordEncoder:
         counts = np.array([len(w) for w in words], np.int64)
         coded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if self.bytes > self.most:
-            self.clear()
-        self.learn([w for w in distinct if w not in self.slots])
-        ends = np.array(self.ends, np.int64)
-        slot = np.array([self.slots[w] for w in distinct], np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if distinct else np.zeros(0, np.int64)
-        start, size = ends[slot], ends[slot + 1] - ends[slot]
-        total = np.concatenate(([0], np.cumsum(size)))
-        ids = self.flat[np.arange(total[-1]) + np.repeat(start - total[:-1], size)]
-        return ids, np.diff(total[np.concatenate(([0], np.cumsum(counts)))])
+        if self.young.bytes > self.most:
+            self.old, self.young = self.young, _Ids(self.end)
+        new = [w for w in distinct if w not in self.young.slots]
+        if moved := [w for w in new if w in self.old.slots]:
+            ids, sizes = self.old.get(np.array([self.old.slots[w] for w in moved]))
+            self.young.add(moved, ids, sizes.tolist())
+        if learnt := [w for w in new if w not in self.old.slots]:
+            self.young.add(*self._library(learnt))
+        slots = np.array([self.young.slots[w] for w in distinct], np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if distinct else np.zeros(0, np.int64)
+        last = np.cumsum(counts)
+        ids, sizes = self.young.get(np.insert(slots, last, 0))
+        total = np.concatenate(([0], np.cumsum(sizes)))
+        return ids, np.diff(total[np.concatenate(([0], last + np.arange(1, len(texts) + 1)))])
+
+
+def _encoder(tokenizer: Broadcast, end: list[int]) -> WordEncoder:
+    """The encoder of this worker process; later tasks go on with its words."""
+    kept = sys.modules.setdefault("_token_sequences_worker", ModuleType("_token_sequences_worker")).__dict__
+    key = (zlib.crc32(tokenizer.value.encode()), len(tokenizer.value), tuple(end))
+    if kept.get("key") != key:
+        kept.update(key=key, encoder=WordEncoder(tokenizer.value, end))
+    return kept["encoder"]
 
 
 def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", end_id: int | None = 1) -> DataFrame:
@@ -110,14 +138,15 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", end_id: int
     carry = [c for c in docs.columns if c != text_col]
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer)  # a vocabulary file, some MB
 
+    end = [] if end_id is None else [end_id]
+
     def make():
-        encoder = WordEncoder(shared.value)
+        encoder = _encoder(shared, end)
 
         def work(texts):
             ids, counts = encoder.encode(texts)
             edges = np.concatenate(([0], np.cumsum(counts)))
-            end = b"" if end_id is None else end_id.to_bytes(4, "little")
-            return [pa.array([ids[a:b].tobytes() + end for a, b in zip(edges, edges[1:])], pa.binary())]
+            return [pa.array([ids[a:b].astype("<u4").tobytes() for a, b in zip(edges, edges[1:])], pa.binary())]
 
         return work
 
@@ -132,77 +161,57 @@ def _store(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if re.match(r"\w+:/", uri) else f"file://{uri}")
 
 
-@dataclass
-class _Written(WriterCommitMessage):
-    part: int
-    name: str
-    documents: int
-    tokens: int
-
-
-class SequenceWriter(DataSourceArrowWriter):
-    """One Arrow file per partition with rows (ids, mask, last, doc_ids); input rows are (doc_id, ids) in order."""
-
-    def __init__(self, options: dict):
-        self.uri, self.length = options["path"], int(options.get("length", LENGTH))
-        self.kind = pa.uint16() if int(options.get("vocabulary", 1 << 32)) <= 1 << 16 else pa.uint32()
-        sized = lambda kind: pa.list_(kind, self.length)
-        self.schema = pa.schema([("ids", sized(self.kind)), ("mask", sized(pa.bool_())), ("last", sized(pa.bool_())), ("doc_ids", pa.list_(pa.int64()))])
-
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> _Written:
-        part = TaskContext.get().partitionId()
-        store, root = _store(self.uri)
-        store.create_dir(root, recursive=True)
-        name = f"part-{part:06d}-{uuid.uuid4().hex}.arrow"
-        written = _Written(part, name, 0, 0)
-        with store.open_output_stream(f"{root}/{name}") as out, pa.ipc.new_file(out, self.schema) as file:
-            held, filled, ends, owners = [], 0, [], []  # ids, their number, places of last ids, their documents
-            room = self.length * BATCH_ROWS
-            for batch in iterator:
-                for doc, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    ids = np.frombuffer(data, "<u4")
-                    written.documents += 1
-                    written.tokens += len(ids)
-                    if len(ids) and int(ids.max()) >= 1 << self.kind.bit_width:
-                        raise ValueError("an id does not fit the width of the files")
-                    held.append(ids)
-                    filled += len(ids)
-                    ends.append(filled - 1)
-                    owners.append(doc)
-                    if filled >= room:
-                        flat, whole = np.concatenate(held), filled // self.length * self.length
-                        done = np.searchsorted(ends, whole)
-                        file.write(self.rows(flat[:whole], ends[:done], owners[:done]))
-                        held, filled, ends, owners = [flat[whole:].copy()], filled - whole, [e - whole for e in ends[done:]], owners[done:]
-            if filled:
-                file.write(self.rows(np.concatenate(held), ends, owners))
-        return written
-
-    def rows(self, flat: np.ndarray, ends: list[int], owners: list) -> pa.RecordBatch:
-        n = -(-len(flat) // self.length)
-        ids = np.zeros(n * self.length, self.kind.to_pandas_dtype())
-        ids[:len(flat)] = flat
-        mask, last = np.zeros(len(ids), bool), np.zeros(len(ids), bool)
-        mask[:len(flat)] = True
-        last[ends] = True
-        edges = np.searchsorted(ends, np.arange(n + 1) * self.length) if ends else np.zeros(n + 1)
-        docs = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(owners, pa.int64()))
+class _Sequences:
+    """Documents one after another, cut into record batches of equal-length rows (ids, mask, last, doc_ids)."""
+
+    def __init__(self, length: int, kind: pa.DataType):
+        sized = lambda kind: pa.list_(kind, length)
+        self.schema = pa.schema([("ids", sized(kind)), ("mask", sized(pa.bool_())), ("last", sized(pa.bool_())), ("doc_ids", pa.list_(pa.int64()))])
+        self.length, self.kind = length, kind.to_pandas_dtype()
+        self.ids, self.ends, self.owners = np.zeros(0, self.kind), np.zeros(0, np.int64), pa.array([], pa.int64())
+
+    def add(self, docs: pa.Array, ids: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.ends = np.concatenate((self.ends, len(self.ids) + np.cumsum(counts) - 1))
+        self.ids = np.concatenate((self.ids, ids.astype(self.kind)))
+        self.owners = pa.concat_arrays([self.owners, docs])
+        room = self.length * BATCH_ROWS
+        while len(self.ids) >= room:
+            yield self.cut(room)
+
+    def cut(self, size: int) -> pa.RecordBatch:
+        """The first ``size`` ids as whole sequences; the last of them may be padded."""
+        n = -(-size // self.length)
+        ids, mask, last = np.zeros(n * self.length, self.kind), np.zeros(n * self.length, bool), np.zeros(n * self.length, bool)
+        ids[:size], mask[:size] = self.ids[:size], True
+        edges = np.searchsorted(self.ends, np.minimum(np.arange(n + 1) * self.length, size))
+        last[self.ends[:edges[-1]]] = True
+        docs = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), self.owners.slice(0, edges[-1]))
+        self.ids, self.ends, self.owners = self.ids[size:], self.ends[edges[-1]:] - size, self.owners.slice(edges[-1])
         sized = lambda x: pa.FixedSizeListArray.from_arrays(pa.array(x), self.length)
         return pa.RecordBatch.from_arrays([sized(ids), sized(mask), sized(last), docs], schema=self.schema)
 
-    def commit(self, messages: list) -> None:
-        store, root = _store(self.uri)
-        files, first = [], 0
-        for m in sorted((m for m in messages if m is not None), key=lambda m: m.part):  # a row for each partition
-            if m.documents:
-                files.append({"name": m.name, "first": first, "documents": m.documents, "tokens": m.tokens})
-            first += m.tokens
-        store.create_dir(root, recursive=True)
-        with store.open_output_stream(f"{root}/{MANIFEST}") as out:
-            out.write(json.dumps({"length": self.length, "files": files}).encode())
 
-    def abort(self, messages: list) -> None:
-        """Files that no manifest names are not read."""
+def _write_files(ordered: DataFrame, path: str, tokenizer: str, end_id: int, length: int, kind: pa.DataType) -> DataFrame:
+    """Writes one file per partition of (doc_id, text); gives part, name, documents and tokens of each."""
+    shared = ordered.sparkSession.sparkContext.broadcast(tokenizer)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        store, root = _store(path)
+        store.create_dir(root, recursive=True)
+        name, encoder, rows, documents, tokens = f"part-{uuid.uuid4().hex}.arrow", _encoder(shared, [end_id]), _Sequences(length, kind), 0, 0
+        with store.open_output_stream(f"{root}/{name}") as out, pa.ipc.new_file(out, rows.schema) as file:
+            for batch in batches:
+                for piece in pieces(batch, 1):
+                    ids, counts = encoder.encode(piece.column(1).to_pylist())
+                    documents, tokens = documents + piece.num_rows, tokens + len(ids)
+                    for written in rows.add(piece.column(0), ids, counts):
+                        file.write(written)
+            if len(rows.ids):
+                file.write(rows.cut(len(rows.ids)))
+        columns = (TaskContext.get().partitionId(), name, documents, tokens)
+        yield pa.RecordBatch.from_arrays([pa.array([x]) for x in columns], names=["part", "name", "documents", "tokens"])
+
+    return ordered.mapInArrow(run, "part long, name string, documents long, tokens long")
 
 
 class _File(InputPartition):
@@ -272,9 +281,6 @@ class SequenceSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return SequenceReader(dict(self.options))
 
-    def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
-        return SequenceWriter(dict(self.options))
-
 
 def write_sequences(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end_id: int = 1) -> None:
     """Encode ``docs`` and write them to a new folder as sequences of ``length`` ids, ascending by ``id_col``.
@@ -284,15 +290,21 @@ def write_sequences(docs: DataFrame, path: str, tokenizer: str, id_col: str = "d
     gives a manifest without files."""
     from tokenizers import Tokenizer
 
-    spark = docs.sparkSession
-    spark.dataSource.register(SequenceSource)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text"), F.monotonically_increasing_id()]
-    tied = rows.withColumns({"_text": order[1], "_row": order[2]})  # equal rows are told apart by where they were read
-    keys = [order[0], F.col("_text"), F.col("_row")]
+    tied = rows.withColumns({"_text": F.xxhash64("text"), "_row": F.monotonically_increasing_id()})  # equal rows are told apart by where they were read
+    keys = [F.col("doc_id").asc_nulls_last(), F.col("_text"), F.col("_row")]
     ordered = tied.repartitionByRange(*keys).sortWithinPartitions(*keys).select("doc_id", "text")
-    vocabulary = Tokenizer.from_str(tokenizer).get_vocab_size(with_added_tokens=True)
-    encode(ordered, tokenizer, "text", end_id).write.format("token_sequences").option("length", str(length)).option("vocabulary", str(max(vocabulary, end_id + 1))).mode("append").save(path)
+    ids = max(Tokenizer.from_str(tokenizer).get_vocab_size(with_added_tokens=True), end_id + 1)
+    parts = _write_files(ordered, path, tokenizer, end_id, length, pa.uint16() if ids <= 1 << 16 else pa.uint32()).collect()  # a row for each partition
+    files, first = [], 0
+    for part in sorted(parts):
+        if part["documents"]:
+            files.append({"name": part["name"], "first": first, "documents": part["documents"], "tokens": part["tokens"]})
+        first += part["tokens"]
+    store, root = _store(path)
+    store.create_dir(root, recursive=True)
+    with store.open_output_stream(f"{root}/{MANIFEST}") as out:
+        out.write(json.dumps({"length": length, "files": files}).encode())
 
 
 def read_documents(spark: SparkSession, path: str, ids: bool = False) -> DataFrame:

@@ -13,7 +13,7 @@ from scanloom.llm import sequences
 
 CONTENT = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
 LIBRARY = Tokenizer.from_str(CONTENT)
-ENCODER = sequences.WordEncoder(CONTENT, most=20_000)  # so small that it forgets now and then
+ENCODER = sequences.WordEncoder(CONTENT, [1], most=20_000)  # so small that it forgets now and then
 
 
 def library_ids(text):
@@ -27,7 +27,7 @@ _MIXED = st.text(st.sampled_from(list("abZ09 .,;:!?'\"<|>()=\n\t̸́éİΣẞ 
 @given(st.lists(st.one_of(_MIXED, st.text(max_size=30), st.sampled_from(["it's 3.14, you're; don't!", "<|endoftext|>x", "<|ENDOFTEXT|>", "a<|startoftext|>b."])), max_size=6))
 def test_words_give_the_ids_of_whole_texts(texts):
     ids, counts = ENCODER.encode(texts)
-    want = [library_ids(t) for t in texts]
+    want = [[*library_ids(t), 1] for t in texts]
     assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
 
 
