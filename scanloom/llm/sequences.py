@@ -15,8 +15,8 @@ import re
 import sys
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 from types import ModuleType
 
 import numpy as np
@@ -29,43 +29,56 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from scanloom.llm.base import LOWERED, documents, fresh, map_texts, pieces, scratch
+from scanloom.llm.base import BLANKS, LOWERED, documents, fresh, map_texts, pieces, scratch
 
 LENGTH = 2048
 BATCH_ROWS = 64
 CACHE_BYTES = 40 << 20
 MANIFEST = "_manifest.json"
-_BETWEEN = re.compile(rb"(?<=[a-z0-9])(?=[.,;:!?])")
+_BLANKS, _ENDS, _MARKS = (np.isin(np.arange(256), list(x)) for x in (BLANKS, b"abcdefghijklmnopqrstuvwxyz0123456789", b".,;:!?"))
 _TOGETHER = 50
 
 
 # --- encoding ---------------------------------------------------------------------------------------
 
 
+def _words(data: bytes) -> tuple[np.ndarray, pa.Array]:
+    """Starts and bytes of the words of lower-cased text, marks after letters and digits being words of their own."""
+    codes = np.frombuffer(data, np.uint8)
+    ink = ~_BLANKS[codes]
+    begins = ink.copy()
+    begins[1:] &= ~ink[:-1] | (_ENDS[codes[:-1]] & _MARKS[codes[1:]])
+    starts = np.flatnonzero(begins)
+    edges = np.append(np.cumsum(ink)[starts] - 1, np.count_nonzero(ink)).astype(np.int32) if len(starts) else np.zeros(1, np.int32)
+    return starts, pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(codes[ink])])
+
+
+def _pylist(words: pa.Array) -> list[bytes]:
+    _, edges, data = words.buffers()
+    edges, data = np.frombuffer(edges, np.int32)[words.offset:words.offset + len(words) + 1].tolist(), data.to_pybytes()
+    return [data[a:b] for a, b in zip(edges, edges[1:])]
+
+
 class _Ids:
     """Ids of words, one after another; word 0 is the end of a document."""
 
     def __init__(self, end: list[int]):
-        self.slots, self.bytes, self.filled = {}, 0, len(end)
-        self.flat, self.edges = np.zeros(1 << 16, np.uint32), array("q", [0, len(end)])
-        self.flat[:len(end)] = end
-
-    def add(self, words: list[bytes], ids: np.ndarray, sizes: list[int]) -> None:
-        if self.filled + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat[:self.filled], np.zeros(max(len(self.flat), 2 * len(ids)), np.uint32)))
-        self.flat[self.filled:self.filled + len(ids)] = ids
-        for w, size in zip(words, sizes):
-            self.slots[w] = len(self.edges) - 1
-            self.filled += size
-            self.edges.append(self.filled)
-            self.bytes += len(w) + 200 + 4 * size
+        self.slots, self.bytes, self.parts, self.sizes, self.n = {}, 0, [np.array(end, np.uint32)], [np.array([len(end)])], 1
+
+    def add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.slots.update(zip(words, range(self.n, self.n + len(words))))
+        self.parts.append(ids)
+        self.sizes.append(sizes)
+        self.n += len(words)
+        self.bytes += sum(map(len, words)) + 200 * len(words) + 4 * len(ids)
 
     def get(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words in ``slots`` and their sizes."""
-        edges = np.array(self.edges)
-        start, size = edges[slots], edges[slots + 1] - edges[slots]
+        self.parts, self.sizes = [np.concatenate(self.parts)], [np.concatenate(self.sizes)]
+        sizes = self.sizes[0]
+        start, size = (np.cumsum(sizes) - sizes)[slots], sizes[slots]
         total = np.cumsum(size)
-        return self.flat[np.arange(total[-1] if len(total) else 0) + np.repeat(start - (total - size), size)], size
+        return self.parts[0][np.arange(total[-1] if len(total) else 0) + np.repeat(start - (total - size), size)], size
 
 
 class WordEncoder:
@@ -87,38 +100,49 @@ class WordEncoder:
         self.mark_id, self.mark = min(special)
         self.young, self.old = _Ids(end), _Ids(end)
 
-    def _library(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, list[int]]:
+    def _library(self, words: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         """New words, ``_TOGETHER`` at a time with a special token after each; those with ``<|`` one by one."""
-        plain = [w for w in words if b"<|" not in w]
-        joined = ["".join(w.decode("utf-8") + self.mark for w in plain[i:i + _TOGETHER]) for i in range(0, len(plain), _TOGETHER)]
-        ids = np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(joined, add_special_tokens=False))])
-        marks = np.flatnonzero(ids == self.mark_id)
         alone = [w for w in words if b"<|" in w]
+        plain = [w for w in words if b"<|" not in w] if alone else words
+        mark = self.mark.encode()
+        joined = [(mark.join(plain[i:i + _TOGETHER]) + mark).decode("utf-8") for i in range(0, len(plain), _TOGETHER)]
+        ids = np.array(list(chain.from_iterable(e.ids for e in self.library.encode_batch_fast(joined, add_special_tokens=False))), np.uint32)
+        marks = np.flatnonzero(ids == self.mark_id)
         parts = [np.array(self.library.encode(w.decode("utf-8"), add_special_tokens=False).ids, np.uint32) for w in alone]
-        return plain + alone, np.concatenate([np.delete(ids, marks), *parts]), (np.diff(marks, prepend=-1) - 1).tolist() + [len(x) for x in parts]
+        return plain + alone, np.concatenate([np.delete(ids, marks), *parts]), np.concatenate((np.diff(marks, prepend=-1) - 1, np.array([len(x) for x in parts], np.int64)))
+
+    def _slots(self, words: list[bytes]) -> np.ndarray:
+        """Places of distinct words in the younger generation, which learns those it does not know."""
+        known, old = self.young.slots, self.old.slots
+        new = [w for w in words if w not in known]
+        if moved := [w for w in new if w in old]:
+            self.young.add(moved, *self.old.get(np.array([old[w] for w in moved])))
+        if len(moved) < len(new):
+            self.young.add(*self._library([w for w in new if w not in old] if moved else new))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, each with the end, and how many each has. Null counts as empty."""
-        words = []
-        for text in texts:
-            raw = (text or "").encode("utf-8")
-            words.append([raw] if b"<|" in raw else _BETWEEN.sub(b" ", raw.translate(LOWERED)).split())
-        counts = np.array([len(w) for w in words], np.int64)
-        coded = pa.array([w for ws in words for w in ws], pa.binary()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        raw = [(t or "").encode("utf-8") for t in texts]
+        whole = [i for i, x in enumerate(raw) if b"<|" in x]
+        rest = raw.copy()
+        for i in whole:
+            rest[i] = b""
+        starts, words = _words(b"\n".join([*rest, b""]).translate(LOWERED))
         if self.young.bytes > self.most:
             self.old, self.young = self.young, _Ids(self.end)
-        new = [w for w in distinct if w not in self.young.slots]
-        if moved := [w for w in new if w in self.old.slots]:
-            ids, sizes = self.old.get(np.array([self.old.slots[w] for w in moved]))
-            self.young.add(moved, ids, sizes.tolist())
-        if learnt := [w for w in new if w not in self.old.slots]:
-            self.young.add(*self._library(learnt))
-        slots = np.array([self.young.slots[w] for w in distinct], np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if distinct else np.zeros(0, np.int64)
-        last = np.cumsum(counts)
-        ids, sizes = self.young.get(np.insert(slots, last, 0))
+        coded = words.dictionary_encode()
+        slots = self._slots(_pylist(coded.dictionary))[coded.indices.to_numpy(zero_copy_only=False)]
+        last = np.searchsorted(starts, np.cumsum([len(x) + 1 for x in rest]))
+        at, ends = last, np.zeros(len(texts), np.int64)
+        if whole:  # a text as one word, before its end
+            at = np.insert(last, whole, last[whole])
+            ends = np.insert(ends, whole, self._slots([raw[i] for i in whole]))
+        ids, sizes = self.young.get(np.insert(slots, at, ends))
         total = np.concatenate(([0], np.cumsum(sizes)))
-        return ids, np.diff(total[np.concatenate(([0], last + np.arange(1, len(texts) + 1)))])
+        per_text = np.ones(len(texts), np.int64)
+        per_text[whole] = 2
+        return ids, np.diff(total[np.concatenate(([0], last + np.cumsum(per_text)))])
 
 
 def _encoder(tokenizer: Broadcast, end: list[int]) -> WordEncoder:
