@@ -10,21 +10,23 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from scanloom.llm.base import Words, crc_fold, documents, fresh, logistic, map_texts, sigmoid
+from scanloom.llm.base import Words, crc_fold, documents, fresh, logistic, pieces, sigmoid
 
 # Parameters of the fit. The sample of labelled rows is bounded by SAMPLE_ROWS.
 SAMPLE_ROWS = 5_000
 FEATURES = 300
 LEAST_DOCS = 5
+# Memory of a worker: spans it remembers, and text it looks at in one go.
+CACHE_BYTES = 16 << 20
+SCORE_BYTES = 512 << 10
 
 # What a written character may stand for.
 LOOKS = {
@@ -112,13 +114,21 @@ class Channel:
         self.log = np.log(p3).tolist()
         self.known: dict[str, str] = {}
         self.sets: dict[str, set[str]] = {}
+        self.held = 0
+
+    def _hold(self, span: str) -> None:
+        """Both caches start anew when their spans and results fill some ``CACHE_BYTES``."""
+        self.held += 300 + 4 * len(span)
+        if self.held > CACHE_BYTES:
+            self.known.clear()
+            self.sets.clear()
+            self.held = 0
 
     def decode(self, span: str) -> str:
         """Likeliest source of a span, words parted by one space."""
         got = self.known.get(span)
         if got is None:
-            if len(self.known) > 50_000:
-                self.known.clear()
+            self._hold(span)
             got = self.known[span] = self._viterbi(span)
         return got
 
@@ -126,8 +136,7 @@ class Channel:
         """Words of all readings of a span. A single look-alike is no word."""
         got = self.sets.get(span)
         if got is None:
-            if len(self.sets) > 50_000:
-                self.sets.clear()
+            self._hold(span)
             got = self.sets[span] = {w for r in _readings(span) if len(r) > 1 or _LETTER.match(r) for w in self.decode(r).split()}
         return got
 
@@ -344,16 +353,16 @@ def score(docs: DataFrame, model: Model, carry: list[str] | None = None, text_co
     names = fresh(docs.select(*carry), "score", "predicted")
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 27^3 counts and FEATURES words
 
-    def make():
+    @F.arrow_udf("double")  # a column function: rows stay in the JVM, texts alone go to Python
+    def scores(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = shared.value.scorer()
+        for array in texts:
+            batch = pa.RecordBatch.from_arrays([array], names=["text"])
+            parts = [scorer(piece.column(0).to_pylist()) for piece in pieces(batch, 0, SCORE_BYTES)]
+            yield pa.array(np.concatenate([np.zeros(0), *parts]))
 
-        def work(texts):
-            scores = scorer(texts)
-            return [pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))]
-
-        return work
-
-    return map_texts(docs, text_col, carry, [T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())], make)
+    scored = docs.select(*carry, scores(F.col(text_col).cast("string")).alias(names[0]))
+    return scored.withColumn(names[1], (F.col(names[0]) >= 0.5).cast("int"))
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
