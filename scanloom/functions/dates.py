@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from scanloom.functions.text import ColumnOrName, col, let, lit_or_col, trimmed
 
 MAX_DAYS = 36500
+# Date attributes whose keyword does not tell the type. All others end in Date or DateTime, or begin
+# with DateOf or DateTimeOf.
+DATES_BY_NAME = ["IssueDateOfImagingServiceRequest", "ObservationDateTrial", "SelectorDAValue"]
+DATE_TIMES_BY_NAME = ["ContextGroupLocalVersion", "ContextGroupVersion", "HL7DocumentEffectiveTime", "SelectorDTValue", "TemplateLocalVersion", "TemplateVersion"]
+
+
+def date_type(keyword: ColumnOrName) -> Column:
+    """DA or DT for the attributes that the dictionary gives one of these types, by keyword; NULL for all others."""
+    k = col(keyword)
+    return (F.when(k.endswith("DateTime") | k.startswith("DateTimeOf") | k.isin(DATE_TIMES_BY_NAME), "DT")
+            .when(k.endswith("Date") | k.startswith("DateOf") | k.isin(DATES_BY_NAME), "DA"))
 
 
 def _basic(text: Column, days: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from scanloom.functions import actions as A
 from scanloom.functions import vocabulary as V
-from scanloom.functions.dates import MAX_DAYS, shifted_values
+from scanloom.functions.dates import MAX_DAYS, date_type, shifted_values
 from scanloom.functions.identifiers import name_uuid, remap_uid, remap_uids
 from scanloom.functions.text import blank_to_null, col, first_error, is_blank
 from scanloom.operators.keyed import first_row_per_key, lookup_join, small_join
@@ -53,19 +53,32 @@ class Profile:
 
 
 class ActionPlan:
-    """Active keyword sets of an action table under a profile, as membership tests.
+    """Action of every keyword of an action table under a profile: one with, one without a date shift.
 
-    Sets instead of a join: the table is bounded by the attribute dictionary, membership is a hash probe
-    inside code generation, and it also serves the ancestors held in ``item_path``.
+    The table is bounded by the attribute dictionary. It is compiled once and meets the rows as a broadcast hash
+    join, one probe a row; only the ancestors held in ``item_path`` are looked up in literal sets.
     """
 
+    MOST = 100_000
+
     def __init__(self, rows, profile: Profile = Profile()):
         """``rows``: keyword, action, group and, for the date group, whether a date shift keeps the entry."""
         skipped = {g for g, on in (("device", profile.retain_device), ("institution", profile.retain_institution),
                                    ("uid", profile.retain_uids), ("dates", profile.dates == "full")) if on}
         self.profile = profile
-        entries = [(r[0], r[1], r[2], r[2] == "dates" and (len(r) < 4 or bool(r[3]))) for r in rows if r[2] not in skipped]
-        self.sets = {(a, d): sorted({k for k, action, _, temporal in entries if action == a and temporal == d}) for a in "XZDU" for d in (False, True)}
+        rank = {a: i for i, a in enumerate("XZD" if profile.retain_uids else "XZDU")}  # X wins over Z, D and U
+        self.shifted: dict[str, str] = {}
+        self.plain: dict[str, str] = {}
+        for r in rows:
+            keyword, action, group = r[0], r[1], r[2]
+            if group in skipped or action not in rank:
+                continue
+            temporal = group == "dates" and (len(r) < 4 or bool(r[3]))
+            for chosen in (self.plain,) if temporal else (self.plain, self.shifted):
+                if keyword not in chosen or rank[action] < rank[chosen[keyword]]:
+                    chosen[keyword] = action
+        if len(self.plain) > self.MOST:
+            raise ValueError(f"an action table has one row for each attribute; this one names more than {self.MOST}")
 
     @classmethod
     def of(cls, actions: DataFrame, profile: Profile = Profile()) -> ActionPlan:
@@ -76,19 +89,19 @@ class ActionPlan:
     def default(cls, profile: Profile = Profile()) -> ActionPlan:
         return cls(A.named_actions(), profile)
 
-    def action(self, keyword: str, shifting: str) -> str:
-        """SQL text giving X, Z, D or U of one attribute, NULL when it stays. X wins over Z and D.
-
-        The arguments are SQL texts too. Text keeps the long membership lists out of the Python
-        expression builder and may name lambda variables.
-        """
-        def member(action):
-            tests = [f"{keyword} IN ({_quoted(names)})" + (f" AND NOT {shifting}" if temporal else "")
-                     for temporal in (False, True) if (names := self.sets[action, temporal])]
-            return " OR ".join(f"({t})" for t in tests) or "false"
+    def attach(self, rows: DataFrame, shifted: str = "_shifted", plain: str = "_plain") -> DataFrame:
+        """``rows`` with the actions of their keyword (X, Z, D, U, or NULL where it stays) with and without a date shift."""
+        table = rows.sparkSession.createDataFrame([(k, self.shifted.get(k), a) for k, a in sorted(self.plain.items())], f"keyword string, {shifted} string, {plain} string")
+        return rows.join(F.broadcast(table), "keyword", "left")  # at most MOST rows
 
-        cases = [f"WHEN {member(a)} THEN '{a}'" for a in ("XZD" if self.profile.retain_uids else "XZDU")]
-        return f"CASE {' '.join(cases)} END"
+    def ancestor(self, retain: list[str]) -> str:
+        """SQL text for ``p``, a step of a path: 1 its subtree goes, 2 it stays whole, 3 and 4 the same without a date
+        shift only, 0 no rule."""
+        names = _quoted(retain) or "''"
+        always = _quoted(sorted(k for k, a in self.shifted.items() if a in "XZD")) or "''"
+        plain = _quoted(sorted(k for k, a in self.plain.items() if a in "XZD")) or "''"
+        return (f"CASE WHEN {stripped_group('p.tag')} THEN 1 WHEN p.keyword IN ({always}) THEN CASE WHEN p.keyword IN ({names}) THEN 2 ELSE 1 END "
+                f"WHEN p.keyword IN ({plain}) THEN CASE WHEN p.keyword IN ({names}) THEN 4 ELSE 3 END ELSE 0 END")
 
 
 def _quoted(names) -> str:
@@ -135,9 +148,23 @@ def retained_keywords(retain: str | None, known: list[str] | None = None) -> lis
 def annotate_actions(elements: DataFrame, plan: ActionPlan, days: Column | None = None) -> DataFrame:
     """Add the action of each row (X, Z, D, U or NULL), ancestors not considered."""
     shifting = plan.profile.shifting(F.lit(None).cast("int") if days is None else days)
-    own = plan.action("keyword", "_shifting")
-    return (elements.withColumn("_shifting", shifting)
-            .withColumn("action", F.expr(f"CASE WHEN {stripped_group('tag')} THEN 'X' ELSE {own} END")).drop("_shifting"))
+    own = F.when(shifting, F.col("_shifted")).otherwise(F.col("_plain"))
+    rows = plan.attach(elements).withColumn("action", F.when(F.expr(stripped_group("tag")), "X").otherwise(own))
+    return rows.select(*elements.columns, "action")
+
+
+def resolve_dates(elements: DataFrame) -> DataFrame:
+    """Rows of date attributes, at any depth, with their type by the dictionary where a file gives another or none.
+
+    DA and DT stay as given. Text that an unknown type left in ``bin`` becomes values; an unreadable one becomes text that no shift
+    accepts, so it is emptied. Sequences are left alone."""
+    given = F.coalesce(F.col("vr"), F.lit(""))
+    kind = F.when(~given.isin("DA", "DT", "SQ"), date_type("keyword"))
+    hidden = kind.isNotNull() & (F.coalesce(F.size("values"), F.lit(0)) <= 0) & F.col("bin").isNotNull()
+    text = F.split(F.btrim(F.decode("bin", "ISO-8859-1"), F.lit("\0 ")), r"\\")
+    return elements.withColumns({
+        "vr": F.coalesce(kind, F.col("vr")), "values": F.when(hidden, text).otherwise(F.col("values")),
+        "bin": F.when(kind.isNull(), F.col("bin"))})
 
 
 def join_actions(elements: DataFrame, actions: DataFrame) -> DataFrame:
@@ -162,22 +189,23 @@ def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain
     facts = header.select("sop_instance_uid", (remap_uid("sop_instance_uid") if new_key else F.col("sop_instance_uid")).alias("_key"), F.col("days").alias("_days"),
                           F.coalesce(F.col("sop_class_uid") == V.PET_IMAGE, F.lit(False)).alias("_pet"),
                           (F.col("study_uid").isNotNull() & F.col("series_uid").isNotNull()).alias("_placed"))
+    # What a row and its path say is settled before the join, with and without a date shift; above it only
+    # plain columns are compared, so no list is evaluated twice. The outermost sequence with a rule decides.
+    steps = F.expr(f"CASE WHEN size(item_path) > 0 THEN filter(transform(item_path, p -> {plan.ancestor(retain)}), c -> c > 0) END")
+    rows = resolve_dates(elements).withColumn("_steps", steps)
+    rows = rows.withColumns({"_in_shifted": F.get(F.filter("_steps", lambda c: c < 3), F.lit(0)), "_in_plain": F.get("_steps", F.lit(0))}).drop("_steps")
+    names = _quoted(retain) or "''"
+    rows = plan.attach(rows).withColumns({"_stripped": F.expr(stripped_group("tag")), "_retained": F.expr(f"coalesce(keyword IN ({names}) AND (vr = 'SQ' OR get(values, 0) <> ''), false)")})
     # Merge join: elements must never be chosen for a broadcast by a low size estimate, and
     # tables bucketed and sorted by instance need neither shuffle nor sort here.
-    rows = elements.hint("merge").join(facts, "sop_instance_uid").withColumn("_shifting", plan.profile.shifting(F.col("_days")))
-    names = _quoted(retain) or "''"
-
-    # The outermost sequence with a rule decides: removed with its subtree, or retained whole.
-    decision = (f"CASE WHEN {stripped_group('p.tag')} THEN 'drop' WHEN {plan.action('p.keyword', '_shifting')} IN ('X', 'Z', 'D') "
-                f"THEN CASE WHEN p.keyword IN ({names}) THEN 'keep' ELSE 'drop' END END")
-    within = f"CASE WHEN size(item_path) > 0 THEN get(filter(transform(item_path, p -> {decision}), d -> d IS NOT NULL), 0) END"
-    rows = rows.withColumn("_within", F.expr(within)).filter("coalesce(_within, '') <> 'drop'")
+    rows = rows.hint("merge").join(facts, "sop_instance_uid").withColumn("_shifting", plan.profile.shifting(F.col("_days")))
+    within = "CASE WHEN _shifting THEN _in_shifted ELSE _in_plain END"
+    rows = rows.withColumn("_within", F.expr(within)).filter("coalesce(_within, 0) NOT IN (1, 3)")
 
     # PET takes dummy series date and time (generated_rows) unless dates stay, even when retained.
     pet = "false" if plan.profile.dates == "full" else "(_pet AND NOT _shifting AND size(item_path) = 0 AND keyword IN ('SeriesDate', 'SeriesTime'))"
-    restored = f"(keyword IN ({names}) AND (vr = 'SQ' OR get(values, 0) <> ''))"
-    effective = (f"CASE WHEN _within = 'keep' THEN 'keep' WHEN {pet} OR {stripped_group('tag')} THEN 'X' WHEN {restored} THEN 'R' "
-                 f"ELSE {plan.action('keyword', '_shifting')} END")
+    effective = (f"CASE WHEN _within IN (2, 4) THEN 'keep' WHEN {pet} OR _stripped THEN 'X' WHEN _retained THEN 'R' "
+                 f"WHEN _shifting THEN _shifted ELSE _plain END")
     rows = rows.withColumn("_action", F.expr(effective)).filter("coalesce(_action, '') <> 'X'")
 
     root, first = F.size("item_path") == 0, F.nullif(F.get("values", F.lit(0)), F.lit(""))
@@ -199,24 +227,27 @@ def apply_rules(elements: DataFrame, header: DataFrame, plan: ActionPlan, retain
     return rows.select(F.col("_key").alias("sop_instance_uid"), *ELEMENT_COLUMNS[1:])
 
 
-def _root_row(tag: str, keyword: str, vr: str, values: Column, when: Column | None = None) -> Column:
-    row = F.struct(F.array().cast(ITEM_PATH).alias("item_path"), F.lit(tag).alias("tag"), F.lit(keyword).alias("keyword"),
-                   F.lit(vr).alias("vr"), values.cast("array<string>").alias("values"))
-    return row if when is None else F.when(when, row)
-
-
-def _code_rows(code: str, item: Column) -> list[Column]:
-    path = F.array(F.struct(F.lit("00120064").alias("tag"), F.lit("DeidentificationMethodCodeSequence").alias("keyword"), item.cast("int").alias("item"))).cast(ITEM_PATH)
-    parts = [("00080100", "CodeValue", "SH", code), ("00080102", "CodingSchemeDesignator", "SH", "DCM"), ("00080104", "CodeMeaning", "LO", V.METHOD_CODES[code])]
-    return [F.struct(path.alias("item_path"), F.lit(t).alias("tag"), F.lit(k).alias("keyword"), F.lit(vr).alias("vr"), F.array(F.lit(v)).alias("values"))
-            for t, k, vr, v in parts]
+def method_codes(profile: Profile, shifting: bool) -> list[str]:
+    """Codes of the applied options in order."""
+    full = profile.dates == "full"
+    options = [("113100", True), ("113106", full), ("113107", shifting and not full), ("113109", profile.retain_device),
+               ("113112", profile.retain_institution), ("113110", profile.retain_uids)]
+    return [code for code, applies in options if applies]
 
 
-def method_codes(profile: Profile, shifting: Column) -> list[tuple[str, Column]]:
-    """Codes of the applied options in order, each with the condition under which it applies."""
-    options = [("113100", F.lit(True)), ("113106", F.lit(profile.dates == "full")), ("113107", shifting if profile.dates != "full" else F.lit(False)),
-               ("113109", F.lit(profile.retain_device)), ("113112", F.lit(profile.retain_institution)), ("113110", F.lit(profile.retain_uids))]
-    return options
+def _generated(profile: Profile, issuer: str | None, shifting: bool) -> list[tuple]:
+    """tag, keyword, vr, value, item of the method codes, condition: the same for all instances with or without a shift."""
+    codes = method_codes(profile, shifting)
+    full = profile.dates == "full"
+    rows = [("00120062", "PatientIdentityRemoved", "CS", ["YES"], None, None),
+            ("00280303", "LongitudinalTemporalInformationModified", "CS", ["UNMODIFIED" if full else "MODIFIED" if shifting else "REMOVED"], None, None),
+            ("00120063", "DeidentificationMethod", "LO", [V.METHOD_CODES[c] for c in codes], None, None), ("00120064", "DeidentificationMethodCodeSequence", "SQ", [], None, None)]
+    for item, code in enumerate(codes):
+        rows += [("00080100", "CodeValue", "SH", [code], item, None), ("00080102", "CodingSchemeDesignator", "SH", ["DCM"], item, None), ("00080104", "CodeMeaning", "LO", [V.METHOD_CODES[code]], item, None)]
+    if not shifting and not full:
+        rows += [("00080021", "SeriesDate", "DA", ["19991111"], None, "pet"), ("00080031", "SeriesTime", "TM", ["111111"], None, "pet")]
+    rows += [("00100020", "PatientID", "LO", [], None, "pid"), ("00100010", "PatientName", "PN", [], None, "name")]
+    return rows + ([("00100021", "IssuerOfPatientID", "LO", [issuer], None, None)] if issuer is not None else [])
 
 
 def generated_rows(header: DataFrame, profile: Profile, issuer: str | None) -> DataFrame:
@@ -235,31 +266,18 @@ def generated_rows(header: DataFrame, profile: Profile, issuer: str | None) -> D
         # id^^^issuer is the text form of an identifier with its issuer
         source = F.concat_ws("^^^", F.col("patient_id"), F.nullif(F.col("issuer_of_patient_id"), F.lit("")))
         pid = F.coalesce(pid, F.when(F.col("patient_id").isNotNull(), name_uuid(source)))
-    longitudinal = F.lit("UNMODIFIED") if profile.dates == "full" else F.when(shifting, "MODIFIED").otherwise("REMOVED")
-    codes = method_codes(profile, shifting)
-    item = F.coalesce(F.col("method_items"), F.lit(0)) if "method_items" in header.columns else F.lit(0)
-    code_rows = []
-    for code, applies in codes:
-        code_rows += [F.when(applies, r) for r in _code_rows(code, item)]
-        item = item + applies.cast("int")
-    meanings = F.array_compact(F.array(*[F.when(on, V.METHOD_CODES[c]) for c, on in codes]))
-    pet = (F.col("sop_class_uid") == V.PET_IMAGE) & ~shifting & F.lit(profile.dates != "full")
-    rows = [
-        _root_row("00120062", "PatientIdentityRemoved", "CS", F.array(F.lit("YES"))),
-        _root_row("00280303", "LongitudinalTemporalInformationModified", "CS", F.array(longitudinal)),
-        _root_row("00120063", "DeidentificationMethod", "LO", meanings),
-        _root_row("00120064", "DeidentificationMethodCodeSequence", "SQ", F.array().cast("array<string>")),
-        *code_rows,
-        _root_row("00080021", "SeriesDate", "DA", F.array(F.lit("19991111")), pet),
-        _root_row("00080031", "SeriesTime", "TM", F.array(F.lit("111111")), pet),
-        _root_row("00100020", "PatientID", "LO", F.array(pid), pid.isNotNull()),
-        _root_row("00100010", "PatientName", "PN", F.array(name), name.isNotNull()),
-    ]
-    if issuer is not None:
-        rows.append(_root_row("00100021", "IssuerOfPatientID", "LO", F.array(F.lit(issuer))))
-    return header.select("sop_instance_uid", F.explode(F.array_compact(F.array(*rows))).alias("r")).select(
-        "sop_instance_uid", "r.item_path", "r.tag", "r.keyword", "r.vr", F.lit(None).cast("string").alias("private_creator"),
-        "r.values", F.lit(None).cast("binary").alias("bin"), F.lit(0).alias("ord"))
+    # Two constant lists; what depends on the instance is filled in behind the explode, in plain columns.
+    kind = "array<struct<tag:string,keyword:string,vr:string,values:array<string>,item:int,only:string>>"
+    both = [F.array(*[F.struct(*[F.array(*map(F.lit, x)) if isinstance(x, list) else F.lit(x) for x in row]) for row in _generated(profile, issuer, s)]).cast(kind) for s in (True, False)]
+    base = F.coalesce(F.col("method_items"), F.lit(0)) if "method_items" in header.columns else F.lit(0)
+    rows = header.select("sop_instance_uid", base.cast("int").alias("_base"), F.coalesce(F.col("sop_class_uid") == V.PET_IMAGE, F.lit(False)).alias("_pet"), pid.alias("_pid"), name.alias("_name"),
+                         F.explode(F.when(shifting, both[0]).otherwise(both[1])).alias("r"))
+    only = F.col("r.only")
+    rows = rows.filter(only.isNull() | ((only == "pet") & F.col("_pet")) | ((only == "pid") & F.col("_pid").isNotNull()) | ((only == "name") & F.col("_name").isNotNull()))
+    step = F.struct(F.lit("00120064").alias("tag"), F.lit("DeidentificationMethodCodeSequence").alias("keyword"), (F.col("_base") + F.col("r.item")).alias("item"))
+    return rows.select(
+        "sop_instance_uid", F.when(F.col("r.item").isNull(), F.array().cast(ITEM_PATH)).otherwise(F.array(step)).alias("item_path"), "r.tag", "r.keyword", "r.vr", F.lit(None).cast("string").alias("private_creator"),
+        F.when(only == "pid", F.array("_pid")).when(only == "name", F.array("_name")).otherwise(F.col("r.values")).alias("values"), F.lit(None).cast("binary").alias("bin"), F.lit(0).alias("ord"))
 
 
 def deidentify(elements: DataFrame, header: DataFrame, plan: ActionPlan | None = None, retain: str | None = None, issuer: str | None = None) -> DataFrame:
@@ -359,12 +377,15 @@ def pseudonymise_by_attributes(elements: DataFrame, header: DataFrame, retain: s
 
 
 def surviving_values(before: DataFrame, after: DataFrame, keywords: list[str]) -> DataFrame:
-    """Residual risk: (keyword, value) pairs of restricted attributes found before and after.
+    """Residual risk: (keyword, value) pairs of restricted attributes found before and after, text of unknown type included.
 
     Both sides are reduced to distinct pairs before they meet, so frequent values cost nothing.
     """
+    hidden = F.split(F.btrim(F.decode("bin", "ISO-8859-1"), F.lit("\0 ")), r"\\")
+    texts = F.when(F.size("values") > 0, F.col("values")).when(F.col("bin").isNotNull(), hidden)
+
     def pairs(df):
-        rows = df.filter(F.col("keyword").isin(keywords)).select("keyword", F.explode("values").alias("value"))
+        rows = df.filter(F.col("keyword").isin(keywords)).select("keyword", F.explode(texts).alias("value"))
         if "SOPInstanceUID" in keywords:  # the key column must not give it away either
             rows = rows.union(df.select(F.lit("SOPInstanceUID"), "sop_instance_uid"))
         return rows.filter("value is not null and value <> ''").distinct()
