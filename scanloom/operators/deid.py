@@ -110,7 +110,7 @@ def _quoted(names) -> str:
 
 def stripped_group(tag: str) -> str:
     """SQL test for private (odd group), curve (50xx) and overlay (60xx) attributes."""
-    return f"(substr({tag}, 4, 1) RLIKE '[13579bBdDfF]' OR substr({tag}, 1, 2) IN ('50', '60'))"
+    return f"(substr({tag}, 4, 1) IN ('1', '3', '5', '7', '9', 'B', 'D', 'F', 'b', 'd', 'f') OR substr({tag}, 1, 2) IN ('50', '60'))"
 
 
 def dummy_value(vr: Column) -> Column:
@@ -125,18 +125,22 @@ def header_of(elements: DataFrame) -> DataFrame:
     """One row per instance: the root attributes that whole-instance rules look at.
 
     Only the rows of those attributes are grouped (the keyword filter reaches the scan), a handful
-    per instance instead of hundreds; its first row (``ord`` 0) keeps an instance without any.
+    per instance instead of hundreds; its first row (``ord`` 0) keeps an instance without any. Rows without
+    an instance UID belong to no instance.
     """
     root = F.size("item_path") == 0
     in_methods = (F.size("item_path") == 1) & (F.get("item_path", F.lit(0))["keyword"] == "DeidentificationMethodCodeSequence") & (F.col("keyword") == "CodeValue")
     wanted = F.coalesce(F.col("keyword").isin(*HEADER_KEYWORDS, "SOPInstanceUID", "CodeValue") & (root | in_methods), F.lit(False))
-    rows = elements.filter(wanted | (F.col("ord") == 0))
+    rows = elements.filter(F.col("sop_instance_uid").isNotNull() & (wanted | (F.col("ord") == 0)))
 
     def value(keyword):
         return F.max(F.when(root & (F.col("keyword") == keyword), F.get("values", F.lit(0))))
 
     methods = F.max(F.when(in_methods, F.get("item_path", F.lit(0))["item"] + 1))
-    return rows.groupBy("sop_instance_uid").agg(*[value(k).alias(c) for k, c in HEADER_KEYWORDS.items()], F.coalesce(methods, F.lit(0)).alias("method_items"))
+    grouped = rows.groupBy("sop_instance_uid").agg(*[value(k).alias(c) for k, c in HEADER_KEYWORDS.items()], F.coalesce(methods, F.lit(0)).alias("method_items"))
+    # Kept together, so that rules and generated rows, which need different columns, share one scan and shuffle.
+    columns = [*HEADER_KEYWORDS.values(), "method_items"]
+    return grouped.select("sop_instance_uid", F.inline(F.array(F.struct(*columns))))
 
 
 def retained_keywords(retain: str | None, known: list[str] | None = None) -> list[str]:

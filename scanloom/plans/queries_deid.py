@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from scanloom.functions import actions as A
@@ -12,6 +14,8 @@ from scanloom.operators import routing as R
 from scanloom.plans.derived import ATTRIBUTES
 from scanloom.plans.registry import query
 from scanloom.plans.sqltext import blank, remapped, shifted, uuid_text
+from scanloom.session import checkpoint_root
+from scanloom.sources import instances
 
 
 def path_text():
@@ -331,12 +335,12 @@ def _(t):
             .agg(F.max(F.when(F.col("keyword") == "PatientID", first)).alias("patient_id"), F.max(F.when(F.col("keyword") == "PatientName", first)).alias("patient_name")))
 
 
-@query("e16_date_shift", f"""SELECT sop_instance_uid, tag, CASE WHEN d = 0 THEN value WHEN vr = 'DA' THEN {shifted('value', 'd')} ELSE {shifted('substr(value, 1, 8)', 'd')} || substr(value, 9) END AS value
-FROM (SELECT *, CAST(o_orderkey % 100 AS INT) - 50 AS d FROM elements) WHERE vr IN ('DA', 'DT')""")
+@query("e16_date_shift", f"""SELECT sop_instance_uid, tag, vr, CASE WHEN d = 0 THEN value WHEN vr = 'DA' THEN {shifted('value', 'd')} ELSE {shifted('substr(value, 1, 8)', 'd')} || substr(value, 9) END AS value
+FROM (SELECT *, CAST(o_orderkey % 100 AS INT) - 50 AS d FROM loose_elements) WHERE vr IN ('DA', 'DT')""")
 def _(t):
     days = (F.substring_index("sop_instance_uid", ".", -1).cast("bigint") % 100 - 50).cast("int")
-    e = t("elements").filter(F.col("vr").isin("DA", "DT")).withColumn("d", days)
-    return e.withColumn("values", shifted_values("values", "vr", F.col("d"))).select("sop_instance_uid", "tag", value_text())
+    e = D.resolve_dates(t("loose_elements")).filter(F.col("vr").isin("DA", "DT")).withColumn("d", days)
+    return e.withColumn("values", shifted_values("values", "vr", F.col("d"))).select("sop_instance_uid", "tag", "vr", value_text())
 
 
 @query("e17_anonymise", _digest_sql(_deid_sql(_NO_SHIFT, "SITE-A")))
@@ -344,6 +348,16 @@ def _(t):
     return digests(D.anonymise(t("elements"), issuer="SITE-A"))
 
 
+@query("e17_anonymise_clustered", _digest_sql(_deid_sql(_NO_SHIFT, "SITE-A")))
+def _(t):
+    """Over tables bucketed by instance: elements are read once and meet the stored index without a shuffle."""
+    elements = t("elements")
+    spark, run = elements.sparkSession, uuid.uuid4().hex
+    for name, rows in (("elements", elements), ("index", D.header_of(elements))):
+        instances.write_clustered(rows, f"{name}_{run}", 8, path=f"{checkpoint_root(spark)}/{name}-{run}")
+    return digests(D.anonymise(spark.table(f"elements_{run}"), spark.table(f"index_{run}"), issuer="SITE-A"))
+
+
 @query("e18_pseudonymise_by_lookup", _digest_sql(_deid_sql(_LOOKED_UP, "SITE-A", True)))
 def _(t):
     return digests(D.pseudonymise_by_lookup(t("elements"), _header(t), _table(t), issuer="SITE-A", order=["id"]))
@@ -351,7 +365,7 @@ def _(t):
 
 @query("e19_pseudonymise_by_attributes", _digest_sql(_deid_sql(_ATTRIBUTED, None, True)))
 def _(t):
-    return digests(D.pseudonymise_by_attributes(t("elements"), _with_attributes(t)))
+    return digests(D.pseudonymise_by_attributes(t("loose_elements"), _with_attributes(t)))
 
 
 @query("e19_attribute_checks", """SELECT sop_instance_uid, CASE o_orderkey % 6 WHEN 2 THEN 'Invalid pseudonymization property value' WHEN 1 THEN 'Missing pseudonym PID or name' WHEN 3 THEN 'Invalid date shift'
@@ -363,5 +377,5 @@ def _(t):
 @query("e20_residual_risk", """SELECT DISTINCT keyword, value FROM (SELECT keyword, unnest(string_split(value, chr(92))) AS value FROM elements WHERE keyword IN ('Modality', 'ImageType') AND value IS NOT NULL)
 UNION SELECT 'ContentDate', '19991111' WHERE EXISTS (SELECT 1 FROM elements WHERE keyword = 'ContentDate' AND value = '19991111')""")
 def _(t):
-    e = t("elements")
-    return D.surviving_values(e, D.anonymise(e), ["StudyDate", "ContentDate", "StudyInstanceUID", "SOPInstanceUID", "PatientName", "AccessionNumber", "Modality", "ImageType"])
+    e = t("loose_elements")
+    return D.surviving_values(e, D.anonymise(e), ["AcquisitionDateTime", "FrameAcquisitionDateTime", "StudyDate", "ContentDate", "StudyInstanceUID", "SOPInstanceUID", "PatientName", "AccessionNumber", "Modality", "ImageType"])

@@ -199,3 +199,46 @@ def test_key_is_replaced_and_a_leak_is_seen(spark):
     assert D.surviving_values(df, leaky, ["SOPInstanceUID"]).count() == 1
     kept = D.deidentify(df, header, retain="SOPInstanceUID")
     assert {r["sop_instance_uid"] for r in kept.collect()} == {SOP}
+
+
+UNTYPED = [("SeriesDate", "UN", ["20231006"]), ("AcquisitionDate", None, ["20231008"]), ("AcquisitionDateTime", "UN", ["20231008070605-0330"]), ("DateOfLastCalibration", "UN", ["20230101", "20230102"]),
+           ("HL7DocumentEffectiveTime", None, ["20231009"]), ("ContentDate", "SH", ["20231010"]), ("IssueDateOfImagingServiceRequest", "UN", ["not a date"])]
+
+
+@pytest.mark.parametrize("in_bytes", [False, True])
+def test_dates_without_type_are_shifted(spark, in_bytes):
+    """At the root and inside a sequence, as values or as the bytes of an unknown type."""
+    nested = ("00400555", "AcquisitionContext2Sequence", 0)
+    df = elements(spark, [*SAMPLE[:4], *[((), f"0040{i:04X}", k, vr, v) for i, (k, vr, v) in enumerate(UNTYPED)],
+                          *[((nested,), f"0042{i:04X}", k, vr, v) for i, (k, vr, v) in enumerate(UNTYPED)]])
+    if in_bytes:
+        dates = F.col("keyword").isin([k for k, *_ in UNTYPED])
+        df = df.withColumn("bin", F.when(dates, F.encode(F.concat(F.array_join("values", "\\"), F.lit("\0")), "ISO-8859-1"))).withColumn("values", F.when(dates, F.array().cast("array<string>")).otherwise(F.col("values")))
+    header = D.header_of(df).withColumn("days", F.lit(-42))
+    rows = D.apply_rules(df, header, D.ActionPlan([])).filter(F.col("keyword").isin([k for k, *_ in UNTYPED])).collect()
+    got = {(r["keyword"], len(r["item_path"])): (r["vr"], r["values"], r["bin"]) for r in rows}
+    want = {"SeriesDate": ("DA", ["20230825"], None), "AcquisitionDate": ("DA", ["20230827"], None), "AcquisitionDateTime": ("DT", ["20230827070605-0330"], None),
+            "DateOfLastCalibration": ("DA", ["20221120", "20221121"], None), "HL7DocumentEffectiveTime": ("DT", ["20230828"], None), "ContentDate": ("DA", ["20230829"], None),
+            "IssueDateOfImagingServiceRequest": ("DA", [], None)}
+    assert got == {(k, depth): v for k, v in want.items() for depth in (0, 1)}
+    leaks = D.surviving_values(df, D.apply_rules(df, header, D.ActionPlan([])), [k for k, *_ in UNTYPED])
+    assert leaks.collect() == []
+
+
+def test_bucketed_tables_need_no_shuffle(spark, tmp_path):
+    from scanloom.sources import instances
+
+    df = elements(spark, SAMPLE)
+    for name, rows in (("clustered_elements", df), ("clustered_index", D.header_of(df))):
+        instances.write_clustered(rows, name, 4, path=f"{tmp_path}/{name}")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = D.anonymise(spark.table("clustered_elements"), spark.table("clustered_index"), issuer="SITE")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan and plan.count("clustered_elements") == 1
+    assert sorted(map(str, out.collect())) == sorted(map(str, D.anonymise(df, issuer="SITE").collect()))
+    for name in ("clustered_elements", "clustered_index"):
+        spark.sql(f"DROP TABLE {name}")
