@@ -323,11 +323,17 @@ def _(stream, t, folder):
     return groups.join(states, "fragment_group", "left").withColumn("state", F.coalesce("state", F.lit("OPEN")))
 
 
-@stream_query("m4_event_batches_on_a_stream", """SELECT user_id AS order_id, batch_no, count(*) AS event_count FROM (SELECT CAST(user_id AS STRING) AS user_id, (row_number() OVER (PARTITION BY user_id ORDER BY md5(CAST(event_id AS STRING))) - 1) // 50 AS batch_no FROM events) GROUP BY 1, 2""")
+@stream_query("m4_event_batches_on_a_stream", """SELECT order_id, batch_no, count(*) AS event_count, md5(string_agg(CAST(event_id AS STRING), ',' ORDER BY ts, CAST(event_id AS STRING))) AS digest FROM (
+  SELECT event_id, ts, CAST(user_id AS STRING) AS order_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, CAST(event_id AS STRING)) - 1) // 50 AS batch_no FROM events) GROUP BY 1, 2""")
 def _(stream, t, folder):
-    ev = stream("events").select(F.col("user_id").cast("string").alias("order_id"), F.lit("r").alias("retrieve_id"), F.struct(F.col("event_id").cast("string").alias("eventId"), "event_type").alias("event"))
-    flows.batch_events(ev, _name(), folder, 50).awaitTermination()
-    return ev.sparkSession.read.parquet(folder).select("order_id", "batch_no", "event_count")
+    ev = stream("events").select(F.col("user_id").cast("string").alias("order_id"), F.lit("r").alias("retrieve_id"), F.col("ts").cast("timestamp").alias("received_at"),
+                                 F.struct(F.col("event_id").cast("string").alias("eventId"), "event_type").alias("event"))
+    # A last row, years later and of no order, closes the batches that are open at the end.
+    end = stream("region").filter("r_regionkey = 0").select(F.lit(None).cast("string").alias("order_id"), F.lit("end").alias("retrieve_id"), F.lit("2100-01-01").cast("timestamp").alias("received_at"),
+                                                            F.struct(F.lit(None).cast("string").alias("eventId"), F.lit(None).cast("string").alias("event_type")).alias("event"))
+    flows.batch_events(ev.unionByName(end), _name(), folder, 50, 10 * 365 * 86_400_000).awaitTermination()
+    ids = F.array_join(F.transform(F.from_json("body", "events array<struct<eventId:string>>")["events"], lambda e: e["eventId"]), ",")
+    return ev.sparkSession.read.parquet(folder).filter("order_id <> ''").select("order_id", "batch_no", F.col("event_count").cast("bigint").alias("event_count"), F.md5(ids).alias("digest"))
 
 
 @stream_query("m5_idempotent_callbacks", "SELECT event_id, event_type FROM events")

@@ -1,6 +1,8 @@
 """Sources, sinks and streams on small fixtures."""
 
 import datetime as dt
+import json
+import random
 import struct
 
 import pytest
@@ -83,24 +85,68 @@ def checkpoints(monkeypatch, tmp_path):
     monkeypatch.setattr(flows, "checkpoint_root", lambda spark: str(tmp_path / "cp"))
 
 
+FRAGMENTS = "fragment_identifier string, fragment_index int, fragment_count int, received_at timestamp"
+
+
 def test_defragment_complete_incomplete_late(spark, tmp_path, checkpoints):
-    source, target = tmp_path / "in", str(tmp_path / "out")
-    schema = "fragment_identifier string, fragment_index int, fragment_count int, received_at timestamp"
+    """Every arrival is a stream of its own that goes on from the checkpoint of the last."""
+    source, target, progress = tmp_path / "in", str(tmp_path / "out"), []
 
     def arrive(*rows):
         data = [(g, i, n, dt.datetime(2024, 1, 1, h)) for g, i, n, h in rows]
-        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(source))
-        flows.ingest(flows.defragment(spark.readStream.schema(schema).parquet(str(source)), 3_600_000, shard_size=50), target, "defrag").awaitTermination()
-
-    arrive(("a", 0, 2, 0), ("b", 0, 3, 0), ("half", 0, 200, 0))
-    arrive(("a", 1, 2, 0), ("b", 1, 3, 0), ("c", 0, 1, 12), *[("half", i * 4 + 1, 200, 0) for i in range(50)])
-    arrive(("d", 0, 1, 13))
-    arrive(("b", 2, 3, 14), *[("big", i, 200, 14) for i in range(200)])
+        spark.createDataFrame(data, FRAGMENTS).coalesce(1).write.mode("append").parquet(str(source))
+        query = flows.ingest(flows.defragment(spark.readStream.schema(FRAGMENTS).parquet(str(source)), 3_600_000, shard_size=50), target, "defrag")
+        query.awaitTermination()
+        progress.append(query.lastProgress.stateOperators[0].numRowsTotal)
+
+    arrive(("a", 0, 2, 0), ("b", 0, 3, 0), ("half", 0, 200, 0), ("twice", 0, 2, 0), ("twice", 0, 2, 0))
+    arrive(("a", 1, 2, 0), ("b", 1, 3, 0), ("b", 1, 3, 0), ("c", 0, 1, 12), *[("half", i * 4 + 1, 200, 0) for i in range(50)])
+    arrive(("d", 0, 1, 13), ("b", 2, 3, 12), ("e", None, 2, 13), (None, 0, 2, 13), ("e", 2, 2, 13), ("e", 0, None, 13))
+    arrive(*[("big", i, 200, 14) for i in range(200)], ("d", 0, 1, 14))
     shards = spark.read.parquet(target)
-    got = {r["group"]: r for r in flows.group_states(shards, 3_600_000, 1704117600000, 50).collect()}
-    assert {g: got[g]["state"] for g in ("a", "b", "c", "big", "half")} == {
-        "a": "COMPLETE", "b": "ZIP_INCOMPLETE", "c": "COMPLETE", "big": "COMPLETE", "half": "ZIP_INCOMPLETE"}
+    got = {r["group"]: r for r in flows.group_states(shards, 3_600_000, 1704117600000).collect()}
+    assert {g: got[g]["state"] for g in got} == {
+        "a": "COMPLETE", "b": "ZIP_INCOMPLETE", "c": "COMPLETE", "d": "COMPLETE", "big": "COMPLETE", "half": "ZIP_INCOMPLETE", "twice": "ZIP_INCOMPLETE"}
     assert got["b"]["late_fragments"] == 1 and shards.filter("group = 'big'").count() == 4
+    assert shards.filter("status = 'failure'").agg(F.sum("arrived")).first()[0] == 4
+    arrive(("z", 0, 1, 20))
+    arrive(("z", 0, 1, 23))
+    assert progress[0] > progress[-1] and progress[-1] <= 2  # one mark at most; all older state is gone
+
+
+EVENTS = "order_id string, retrieve_id string, id int, received_at timestamp"
+
+
+def brute_batches(rows, size, wait):
+    """Batches of each key in order of arrival; the last is closed by the end of the stream."""
+    out, keys = [], {}
+    for order, retrieve, number, time in sorted(rows, key=lambda r: (r[3], str(r[2]))):
+        keys.setdefault((order or "", retrieve or ""), []).append((number, time))
+    for key, events in keys.items():
+        batches = []
+        for number, time in events:
+            if not batches or len(batches[-1]) == size or (time - batches[-1][0][1]).total_seconds() * 1000 > wait:
+                batches.append([])
+            batches[-1].append((number, time))
+        out += [(*key, n, [i for i, _ in b]) for n, b in enumerate(batches)]
+    return sorted(out)
+
+
+@pytest.mark.parametrize("cuts", [[], [40], [7, 8, 55, 90]])
+def test_same_batches_whatever_the_micro_batches(spark, tmp_path, checkpoints, cuts):
+    rng = random.Random(3)
+    start, at, rows = dt.datetime(2024, 1, 1), 0, []
+    for i in range(120):
+        at += rng.choice([0, 1, 1, 400])
+        rows.append((rng.choice(["o1", "o1", "o1", "o2", None]), rng.choice(["r1", "r2"]), i, start + dt.timedelta(milliseconds=at)))
+    rows.append(("end", "of stream", 0, start + dt.timedelta(days=1)))  # its time closes what is open
+    for a, b in zip([0, *cuts], [*cuts, len(rows)]):
+        spark.createDataFrame(rows[a:b], EVENTS).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(EVENTS).parquet(str(tmp_path / "in"))
+        event = F.struct(F.lpad(F.col("id").cast("string"), 4, "0").alias("eventId"), F.lit("x").alias("eventType"))
+        flows.batch_events(stream.withColumn("event", event), "batches", str(tmp_path / "out"), 5, 1000).awaitTermination()
+    got = [(r.order_id, r.retrieve_id, r.batch_no, [int(e["eventId"]) for e in json.loads(r.body)["events"]]) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got) == [b for b in brute_batches(rows, 5, 1000) if b[0] != "end"]
 
 
 def test_idempotent_stream(spark, tmp_path, checkpoints):
