@@ -86,13 +86,5 @@ def smallest_per_group(df: DataFrame, group: list[str], value: str, limit: int,
     return ranked.groupBy(*group).agg(F.array_sort(F.collect_list(value)).alias(out))
 
 
-def bounded_rows(df: DataFrame, limit: int) -> list:
-    """Rows of a table that must be small; more than ``limit`` rows is an error, not a cut."""
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"table has more than {limit} rows")
-    return rows
-
-
 def any_of(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, columns)

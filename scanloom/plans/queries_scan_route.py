@@ -67,9 +67,11 @@ def _encoded_files(df):
     body = F.concat(attribute("00080016", "UI", F.col("sop_class_uid")), attribute("00080018", "UI", F.col("sop_instance_uid")), attribute("00100020", "LO", F.col("patient_id")),
                     attribute("0020000D", "UI", F.col("study_uid")), attribute("0020000E", "UI", F.col("series_uid")),
                     F.unhex(F.lit("E07F10004F5700000400000001020304")))
-    bare = F.col("o_orderkey") % 17 == 0
-    return df.select("sop_instance_uid", F.when(bare, F.encode(F.lit("no image"), "UTF-8")).otherwise(
-        F.concat(F.unhex(F.lit("00" * 128)), F.encode(F.lit("DICM"), "UTF-8"), meta, body)).alias("content"))
+    whole = F.concat(F.unhex(F.lit("00" * 128)), F.encode(F.lit("DICM"), "UTF-8"), meta, body)
+    at = (F.col("o_orderkey") % 4).cast("int")
+    cut = F.substring(whole, F.lit(1), F.length(whole) - 18 + at + F.when(at >= 2, 1).otherwise(0))  # within the series UID, or in the head of the pixels
+    bare = F.when(F.col("o_orderkey") % 2 == 0, F.encode(F.lit("no image"), "UTF-8")).otherwise(cut)
+    return df.select("sop_instance_uid", F.when(F.col("o_orderkey") % 17 == 0, bare).otherwise(whole).alias("content"))
 
 
 @query("a3_header_until_pixels", """
@@ -77,8 +79,11 @@ SELECT sop_instance_uid AS path, tag, value, o_orderkey % 17 <> 0 AS readable FR
   SELECT *, unnest(['00080016', '00080018', '00100020', '0020000D', '0020000E']) AS tag, unnest([sop_class_uid, sop_instance_uid, nullif(patient_id, ''), study_uid, series_uid]) AS value FROM inst WHERE o_orderkey % 17 <> 0)
 UNION ALL SELECT sop_instance_uid, NULL, NULL, false FROM inst WHERE o_orderkey % 17 = 0""")
 def _(t):
-    rows = headerfiles.heads_of(_encoded_files(t("inst")), "sop_instance_uid")
-    return rows.select("path", "tag", F.get("values", F.lit(0)).alias("value"), "readable")
+    files = _encoded_files(t("inst")).withColumn("filename", F.concat("sop_instance_uid", F.lit(".dcm")))
+    folder = _folder(files)
+    sinks.write_files(files, folder)
+    rows = headerfiles.read_headers(files.sparkSession, folder, ".dcm")
+    return rows.select(F.regexp_extract("path", r"([^/]*)\.dcm$", 1).alias("path"), "tag", F.get("values", F.lit(0)).alias("value"), "readable")
 
 
 @query("a4_message_charset", """

@@ -1,9 +1,11 @@
 """Sources, sinks and streams on small fixtures."""
 
 import datetime as dt
+import io
 import json
 import random
 import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,7 +44,7 @@ def test_header_files(spark, tmp_path):
     (tmp_path / "bad.dcm").write_bytes(b"hello")
     implicit = struct.pack("<HHI", 0x0008, 0x0018, 4) + b"1.9\0" + struct.pack("<HHI", 0x0010, 0x0020, 2) + b"P1"
     (tmp_path / "c.dcm").write_bytes(implicit)
-    df = headerfiles.read_headers(spark, str(tmp_path), filesPerPartition="1", vrs="00080018=UI,00100020=LO")
+    df = headerfiles.read_headers(spark, str(tmp_path), ".dcm", {"00080018": "UI", "00100020": "LO"})
     rows = df.collect()
     good = [r for r in rows if r["path"].endswith("a.dcm")]
     values = {(tuple((p["tag"], p["item"]) for p in r["item_path"]), r["tag"]): r["values"] for r in good}
@@ -56,6 +58,68 @@ def test_header_files(spark, tmp_path):
     assert named["keyword"] == "CodeValue" and named["item_path"][0]["keyword"] == "ReferencedImageSequence"
 
 
+def swapped(body):
+    """Explicit little-endian attributes without sequences and numbers, as big-endian ones."""
+    out, at = b"", 0
+    while at < len(body):
+        group, number, vr = struct.unpack_from("<HH2s", body, at)
+        long = vr.decode() in headerfiles.LONG_LENGTH
+        size = struct.unpack_from("<I" if long else "<H", body, at + (8 if long else 6))[0]
+        start = at + (12 if long else 8)
+        out += struct.pack(">HH2s", group, number, vr) + (struct.pack(">HI", 0, size) if long else struct.pack(">H", size)) + body[start:start + size]
+        at = start + size
+    return out
+
+
+def head(data, **vrs):
+    return headerfiles.read_head(io.BytesIO(data), "x", vrs)
+
+
+def test_cut_files_are_unreadable():
+    """Every prefix that ends between two attributes is a whole file; any other is cut."""
+    inner = attribute("00080100", "SH", b"C1")
+    parts = [attribute("00080018", "UI", b"1.2.3"), attribute("00100020", "LO", b"P1"), attribute("00081140", "SQ", item(inner) + item(inner)),
+             attribute("0040A730", "SQ", struct.pack("<HHI", 0xFFFE, 0xE000, 0xFFFFFFFF) + inner + struct.pack("<HHI", 0xFFFE, 0xE00D, 0) + struct.pack("<HHI", 0xFFFE, 0xE0DD, 0), undefined=True)]
+    whole = part10(b"".join(parts))
+    ends, at = set(), len(part10(b""))
+    for p in parts:
+        at += len(p)
+        ends.add(at)
+    for n in range(len(whole) + 1):
+        assert head(whole[:n])[0]["readable"] == (n in ends), n
+
+
+def test_deflated_big_endian_and_icons():
+    plain = attribute("00080018", "UI", b"1.2.3") + attribute("00100010", "PN", b"Marsh^Lee") + attribute("00420011", "OB", b"\1\2\3\4")
+    want = [(r["tag"], r["values"], r["bin"]) for r in head(part10(plain))]
+    packer = zlib.compressobj(wbits=-15)
+    deflated = packer.compress(plain + attribute("7FE00010", "OW", bytes(1 << 20))) + packer.flush()
+    got = head(part10(deflated, headerfiles.DEFLATED.encode()))
+    assert [(r["tag"], r["values"], r["bin"]) for r in got] == want and got[0]["transfer_syntax_uid"] == headerfiles.DEFLATED
+    assert not head(part10(deflated[:20], headerfiles.DEFLATED.encode()))[0]["readable"]
+    big = swapped(plain) + struct.pack(">HH2sHH", 0x0028, 0x0010, b"US", 2, 512)
+    got = head(part10(big, headerfiles.BIG_ENDIAN.encode()))
+    assert [(r["tag"], r["values"], r["bin"]) for r in got] == [*want, ("00280010", ["512"], None)]
+    piece = struct.pack("<HHI", 0xFFFE, 0xE000, 4) + b"\xff\xd8\xff\xd9"
+    icon = attribute("7FE00010", "OB", piece + piece + struct.pack("<HHI", 0xFFFE, 0xE0DD, 0), undefined=True)
+    rows = head(part10(attribute("00880200", "SQ", item(icon + attribute("00420010", "ST", b"after"))) + attribute("7FE00010", "OB", b"\0" * 10)))
+    assert [(r["tag"], len(r["item_path"])) for r in rows] == [("00880200", 0), ("7FE00010", 1), ("00420010", 1)]
+
+
+@pytest.mark.parametrize("terms, data, want", [
+    (b"ISO_IR 100", "Müller^Jörg".encode("latin-1"), "Müller^Jörg"),
+    (b"ISO_IR 192", "山田^太郎".encode(), "山田^太郎"),
+    (b"\\ISO 2022 IR 87", b"Yamada^Tarou=\x1b$B;3ED\x1b(B^\x1b$BB@O:\x1b(B=\x1b$B$d$^$@\x1b(B^\x1b$B$?$m$&\x1b(B", "Yamada^Tarou=山田^太郎=やまだ^たろう"),
+    (b"ISO 2022 IR 13\\ISO 2022 IR 87", b"\xd4\xcf\xc0\xde^\xc0\xdb\xb3=\x1b$B;3ED\x1b(J^\x1b$BB@O:\x1b(J", "ﾔﾏﾀﾞ^ﾀﾛｳ=山田^太郎"),
+    (b"\\ISO 2022 IR 149", b"Hong^Gildong=\x1b$)C\xfb\xf3^\x1b$)C\xd1\xce\xd4\xd7=\x1b$)C\xc8\xab^\x1b$)C\xb1\xe6\xb5\xbf", "Hong^Gildong=洪^吉洞=홍^길동"),
+    (b"ISO 2022 IR 100\\ISO 2022 IR 144", b"Gr\xfcn^\x1b-L\xbb\xee\xda^\xfc", "Grün^Люк^ü"),
+    (b"GB18030", "王^小东".encode("gb18030"), "王^小东"),
+])
+def test_character_sets(terms, data, want):
+    rows = head(part10(attribute("00080005", "CS", terms) + attribute("00100010", "PN", data)))
+    assert rows[1]["values"] == [want]
+
+
 def test_instance_index(spark):
     df = elements(spark, SAMPLE)
     row = instances.index_of(df).first()
