@@ -210,3 +210,27 @@ def halves(table: pa.Table, text: int, most: int = BLOCK_BYTES) -> Iterator[pa.R
     """A group's rows in slices of about ``most`` bytes of text."""
     for batch in table.combine_chunks().to_batches():
         yield from pieces(batch, text, most)
+
+
+# --- filters of fixed size ----------------------------------------------------------------------------
+
+FILTER_BITS = 1 << 23
+
+
+def bloom(hashes: DataFrame) -> np.ndarray:
+    """Bloom filter of the 64-bit hashes in the only column, of fixed size; more of them only let more pass."""
+    h = F.col(hashes.columns[0])
+    bits = hashes.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h")).select(F.col("h").bitwiseAND(FILTER_BITS - 1).alias("bit"))
+    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect()  # at most FILTER_BITS / 64
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[[w["word"] for w in words]] = [w["bits"] for w in words]
+    return out.view(np.uint64)
+
+
+def passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Which of the hashes (unsigned) may be in the filter."""
+    good = np.ones(len(hashes), bool)
+    for x in (hashes, hashes >> np.uint64(32)):
+        at = x & np.uint64(FILTER_BITS - 1)
+        good &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return good

@@ -8,26 +8,28 @@ Each set needs only its D + 1 rarest keys, in one global order: two sets that ag
 these. Blocks without shingles come last in that order. So contents that many strangers share (a common passage, an
 empty block) make no candidates, and what is left is verified on the sets themselves.
 
-Rows move as classes of equal sets. Every class is first compared with the centre it shares most keys with; whatever
-these links do not bring into one component is then compared within its buckets, so no link is lost and groups of
-near copies cost one comparison for each member.
+Rows move as classes of equal sets, each with a parity sketch of 512 bits. Of the pairs that share a key, those whose
+sketches lie farther apart than linked sets can differ are rejected by that Hamming distance, before any text is read.
+Every class is first compared with the centre it shares most keys with, then every component that this leaves with the first one of
+its buckets; whatever is still apart is compared within its buckets. So no link is lost, and groups of near copies
+cost a few comparisons for each member.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import LOWER, UPPER, Words, cut, documents, fresh, lists, map_texts, mix, scratch, signed, spans_hash, windows
+from scanloom.llm.base import LOWER, UPPER, Words, bloom, cut, documents, fresh, lists, map_texts, mix, passes, pieces, scratch, signed, spans_hash, windows
 from scanloom.llm.components import components
 
 NO_ID = (1 << 63) - 1
 _BIT = np.uint64(0xFFFF)
-# Up to so many ids (8 bytes each) of documents to verify are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 200_000
+SKETCH_WORDS = 8
+PIECE_BYTES = 512 << 10
 
 
 def sets_of(texts: list, size: int) -> list[np.ndarray]:
@@ -54,6 +56,12 @@ def class_hash(own: np.ndarray) -> int:
     return int(mix(np.array([np.bitwise_xor.reduce(mix(own + np.uint64(77))) + np.uint64(len(own))], np.uint64)).view(np.int64)[0])
 
 
+def sketch(own: np.ndarray) -> np.ndarray:
+    """Parity sketch: every shingle flips one of 64 * SKETCH_WORDS bits."""
+    at = ((own >> np.uint64(20)) & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=64 * SKETCH_WORDS) & 1).astype(bool)).view(np.int64)
+
+
 class Bands:
     """Bands of set sizes for a threshold of ``percent``: linked sets lie in the same band or in neighbours."""
 
@@ -101,21 +109,21 @@ def _members(docs: DataFrame, id_col: str, text_col: str, size: int, keep: tuple
     def make():
         def work(texts):
             own = sets_of(texts, size)
-            return [pa.array([len(s) for s in own], pa.int64()), pa.array([class_hash(s) if len(s) else None for s in own], pa.int64())]
+            sketches = np.concatenate([np.zeros(0, np.int64), *(sketch(s) for s in own)])
+            return [pa.array([len(s) for s in own], pa.int64()), pa.array([class_hash(s) if len(s) else None for s in own], pa.int64()), lists(sketches, np.full(len(own), SKETCH_WORDS), pa.int64())]
 
         return work
 
-    return map_texts(docs, text_col, [id_col, *keep], [T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType())], make)
+    fields = [T.StructField("n_shingles", T.LongType()), T.StructField("class", T.LongType()), T.StructField("sketch", T.ArrayType(T.LongType()))]
+    return map_texts(docs, text_col, [id_col, *keep], fields, make, PIECE_BYTES)
 
 
 def _keys(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
     """(key, class, code) once for each class and task."""
     def run(batches):
-        from scanloom.llm.base import pieces
-
         bands, seen = Bands(percent), set()
         for batch in batches:
-            for piece in pieces(batch, 0):
+            for piece in pieces(batch, 0, PIECE_BYTES):
                 keys, classes, codes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
                 for own in sets_of(piece.column(0).to_pylist(), size):
                     if len(own) and (name := class_hash(own)) not in seen:
@@ -128,38 +136,43 @@ def _keys(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
     return docs.select(text_col).mapInArrow(run, "key long, class long, code int")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(node, own) for the documents in ``wanted``."""
-    def make():
-        def work(texts):
-            own = sets_of(texts, size)
-            flat = np.concatenate([*own, np.zeros(0, np.uint64)])
-            return [lists(flat.view(np.int64), np.array([len(s) for s in own], np.int64), pa.int64())]
+def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """(node, class, text), once for each (node, class) in ``wanted``. A filter of fixed size keeps other texts from being moved."""
+    bits = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("node"))))
 
-        return work
+    def run(batches):
+        for batch in batches:
+            batch = batch.filter(pa.array(passes(batch.column(1).to_numpy().view(np.uint64), bits.value)))
+            for piece in pieces(batch, 2, PIECE_BYTES):
+                names = [class_hash(s) if len(s) else None for s in sets_of(piece.column(2).to_pylist(), size)]
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(names, pa.int64()), piece.column(2)], names=["node", "class", "text"])
 
-    if wanted.count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    chosen = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("node"), F.col(text_col).alias("text")).join(wanted, "node", "left_semi")
-    return map_texts(chosen, "text", ["node"], [T.StructField("own", T.ArrayType(T.LongType()))], make)
+    node = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
+    found = docs.select(node.alias("node"), F.xxhash64(node).alias("h"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "node long, class long, text string")
+    return found.join(wanted, ["node", "class"], "left_semi").dropDuplicates(["node", "class"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents whose sets reach the threshold."""
-    wanted = cut(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
-    sets = _sets(docs, wanted, id_col, text_col, size)
-    one = pairs.join(sets.hint("merge"), F.col("a") == F.col("node")).select("a", "b", F.col("own").alias("first"))
-    two = one.hint("merge").join(sets, F.col("b") == F.col("node")).select("a", "b", "first", "own")
+    """Of pairs (a, x, b, y) of documents and classes, those (a, b) whose sets reach the threshold. Texts are moved,
+    which compress, and not their hashes."""
+    wanted = cut(pairs.select(F.col("a").alias("node"), F.col("x").alias("class")).union(pairs.select("b", "y")).distinct())
+    texts = _texts(docs, wanted, id_col, text_col, size)
+    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("class").alias("x"), F.col("text").alias("first")).hint("merge"), ["a", "x"])
+    two = one.hint("merge").join(texts.select(F.col("node").alias("b"), F.col("class").alias("y"), F.col("text").alias("second")), ["b", "y"]).select("a", "b", "first", "second")
 
     def run(batches):
         for batch in batches:
-            firsts, seconds = batch.column(2), batch.column(3)
-            keep = np.zeros(batch.num_rows, bool)
-            for i in range(batch.num_rows):
-                x, y = (np.asarray(c[i].values) for c in (firsts, seconds))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"])
+            for piece in pieces(batch, 3, PIECE_BYTES):
+                n = piece.num_rows
+                both_sides = piece.column(2).to_pylist() + piece.column(3).to_pylist()
+                distinct = list(dict.fromkeys(both_sides))
+                own = dict(zip(distinct, sets_of(distinct, size)))
+                keep = np.zeros(n, bool)
+                for i in range(n):
+                    x, y = own[both_sides[i]], own[both_sides[n + i]]
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
+                yield pa.RecordBatch.from_arrays([piece.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"])
 
     return two.mapInArrow(run, "a long, b long")
 
@@ -176,7 +189,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     node = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
     members = cut(_members(docs, id_col, text_col, size, keep).withColumn("node", node))
-    classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("node").alias("first"), F.min("n_shingles").alias("n"))
+    classes = members.filter("n_shingles > 0").groupBy("class").agg(F.min("node").alias("first"), F.min("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    classes = cut(classes)
 
     keys = _keys(docs, text_col, size, percent).filter("key is not null and class is not null and code is not null").repartition("key")
     # Both uses of the dealt keys need all their columns and no null, so one shuffle serves them.
@@ -190,30 +204,50 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     centres = buckets.groupBy("key").agg(F.min("class").alias("centre"))
     best = buckets.join(centres, "key").filter("class <> centre").groupBy("class", "centre").count().groupBy("class").agg(F.max(F.struct("count", "centre")).alias("most"))
 
+    def near(x: str, y: str) -> Column:
+        """What sizes and sketches of linked sets satisfy: |x ^ y| * (100 + percent) <= (100 - percent) * (|x| + |y|)."""
+        n = F.col(f"n_{x}") + F.col(f"n_{y}")
+        fits = F.least(f"n_{x}", f"n_{y}") * 100 >= F.greatest(f"n_{x}", f"n_{y}") * percent
+        apart = sum((F.bit_count(F.get(f"sketch_{x}", F.lit(i)).bitwiseXOR(F.get(f"sketch_{y}", F.lit(i)))) for i in range(SKETCH_WORDS)), F.lit(0))
+        return fits & (apart * (100 + percent) <= n * (100 - percent))
+
+    def side(x: str, *more: str) -> list[Column]:
+        return [F.col("class").alias(x), F.col("first").alias(f"first_{x}"), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sketch_{x}"), *(F.col(c).alias(f"{c}_{x}") for c in more)]
+
+    def ordered(pairs: DataFrame) -> DataFrame:
+        """(a, x, b, y): the documents and classes of pairs that sizes and sketches leave, the smaller id first."""
+        ends = F.array_sort(F.array(F.struct(F.col("first_x").alias("n"), F.col("x").alias("c")), F.struct(F.col("first_y").alias("n"), F.col("y").alias("c"))))
+        apart = pairs.filter("first_x <> first_y").select(ends.alias("e")).distinct()
+        return apart.select(F.col("e")[0]["n"].alias("a"), F.col("e")[0]["c"].alias("x"), F.col("e")[1]["n"].alias("b"), F.col("e")[1]["c"].alias("y"))
+
     def named(pairs: DataFrame) -> DataFrame:
-        """Pairs of classes as pairs of their first documents, without those whose sizes rule a link out."""
-        a = classes.select(F.col("class").alias("x"), F.col("first").alias("a"), F.col("n").alias("n_a"))
-        b = classes.select(F.col("class").alias("y"), F.col("first").alias("b"), F.col("n").alias("n_b"))
-        fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent
-        return pairs.join(a, "x").join(b, "y").filter(fits & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        """Pairs (x, y) of classes with what their documents, sizes and sketches are."""
+        return ordered(pairs.join(classes.select(side("x")), "x").join(classes.select(side("y")), "y").filter(near("x", "y")))
+
+    def placed(links: DataFrame) -> DataFrame:
+        """(key, class, component) of buckets that still hold several components."""
+        of_class = classes.join(components(links), F.col("first") == F.col("node"), "left").select("class", F.coalesce("component", "first").alias("comp"))
+        rows = buckets.join(of_class, "class").select("key", "class", "comp")
+        parted = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key", "low")
+        return rows.join(parted, "key")
 
     starred = cut(named(best.select(F.col("most.centre").alias("x"), F.col("class").alias("y"))))
     texts = members.join(classes, "class").select("node", "first").distinct()
     lowest = texts.groupBy("node").agg(F.min("first").alias("low"), F.max("first").alias("high")).filter("low < high")
     same = texts.join(lowest, "node").filter("first <> low").select(F.col("low").alias("a"), F.col("first").alias("b"))  # ids with several texts
     links = cut(_verified(starred, docs, id_col, text_col, size, percent).union(same))
-    found = components(links)
-
-    of_class = classes.join(found, F.col("first") == F.col("node"), "left").select("class", F.coalesce("component", "first").alias("comp"))
-    placed = buckets.join(of_class, "class").select("key", "class", "comp")
-    parted = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
-    open_ = placed.join(parted, "key")
-    rest = open_.select("key", F.col("class").alias("x"), F.col("comp").alias("cx")).join(
-        open_.select("key", F.col("class").alias("y"), F.col("comp").alias("cy")), "key").filter("x < y and cx <> cy").select("x", "y").distinct()
-    remaining = cut(named(rest).join(starred, ["a", "b"], "left_anti"))
+    # Components meet the first one of their buckets, by one class each.
+    agents = placed(links).groupBy("key", "comp", "low").agg(F.min("class").alias("y"))
+    firsts = agents.filter("comp = low").select("key", F.col("y").alias("x"))
+    second = cut(named(agents.filter("comp <> low").join(firsts, "key").select("x", "y").distinct()).join(starred, ["a", "x", "b", "y"], "left_anti"))
+    links = cut(links.union(_verified(second, docs, id_col, text_col, size, percent)))
+    opened = cut(placed(links))
+    open_ = opened.join(classes, "class")
+    rest = open_.select("key", *side("x", "comp")).join(open_.select("key", *side("y", "comp")), "key").filter((F.col("x") < F.col("y")) & (F.col("comp_x") != F.col("comp_y")) & near("x", "y"))
+    remaining = cut(ordered(rest).join(starred, ["a", "x", "b", "y"], "left_anti").join(second, ["a", "x", "b", "y"], "left_anti"))
     if not remaining.isEmpty():
-        more = _verified(remaining, docs, id_col, text_col, size, percent)
-        found = components(links.union(more))
+        links = links.union(_verified(remaining, docs, id_col, text_col, size, percent))
+    found = components(links)
     joined = members.join(classes.select("class", "first"), "class", "left").join(found.withColumnRenamed("node", "first"), "first", "left")
     component = F.coalesce("component", "first", "node")
     own = [F.col("class").alias(class_name)] if class_name else []

@@ -20,14 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scanloom.llm.base import LOWER, UPPER, documents, lower_ascii, pieces, scratch
+from scanloom.llm.base import LOWER, UPPER, bloom, documents, lower_ascii, passes, pieces, scratch
 
 # Fixed value: terms of texts.
 TERM = "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 _LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 BLOCK_POSTINGS = 1 << 19
 QUERY_BLOCK_TERMS = 100_000
-FILTER_BITS = 1 << 23
 FIRST_STEP = 16
 NO_ID = (1 << 63) - 1
 _INDEX = "block long, documents long, total long, doc_ids array<long>, lengths array<int>, terms array<binary>, sizes array<int>, places array<int>, counts array<int>"
@@ -46,23 +45,8 @@ def _ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 # --- index ------------------------------------------------------------------------------------------
 
 
-def term_filter(terms: DataFrame) -> np.ndarray:
-    """Bloom filter of the column ``term``, of fixed size whatever the number of terms; more terms only let more pass."""
-    h = F.xxhash64("term")
-    bits = terms.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h")).select(F.col("h").bitwiseAND(FILTER_BITS - 1).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect()  # at most FILTER_BITS / 64
-    out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[[w["word"] for w in words]] = [w["bits"] for w in words]
-    return out.view(np.uint64)
-
-
 def _passes(terms: list[bytes], bits: np.ndarray) -> np.ndarray:
-    h = np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms))
-    mask, good = np.uint64(FILTER_BITS - 1), np.ones(len(terms), bool)
-    for x in (h, h >> np.uint64(32)):
-        at = x & mask
-        good &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
-    return good
+    return passes(np.fromiter((xxhash.xxh64_intdigest(t, 42) for t in terms), np.uint64, len(terms)), bits)
 
 
 class _Block:
@@ -227,7 +211,7 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "doc_
     asked = queries.select(F.col(query_id).alias("item"), F.col(query_text).cast("string").alias("text")).distinct()
     words = asked.select("item", F.md5(F.coalesce("text", F.lit(""))).alias("copy"), F.explode(terms_of(F.col("text"))).alias("term"))
     path = scratch(spark, "search-index")
-    build_index(docs, term_filter(words.select("term")), id_col, text_col).write.parquet(path)
+    build_index(docs, bloom(words.select(F.xxhash64("term"))), id_col, text_col).write.parquet(path)
     index = spark.read.schema(_INDEX).parquet(path)
     blocks, n_all, total = index.agg(F.count("*"), F.coalesce(F.sum("documents"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
 
