@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import math
-import os
-import tempfile
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
@@ -73,6 +73,14 @@ def pieces(batch: pa.RecordBatch, column: int, most: int = BLOCK_BYTES) -> Itera
             yield batch.slice(start, end - start)
 
 
+def give_back() -> None:
+    """Worker processes live on after a task; what they have freed goes back to the system, where that is possible."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_texts(df: DataFrame, text_col: str, carry: Sequence[str], fields: Sequence[T.StructField], make: Callable[[], Callable[..., list]], most: int = BLOCK_BYTES, also: Sequence[str] = ()) -> DataFrame:
     """Arrow map over blocks of texts: ``make()`` runs once in a task and gives a function from a list of texts
     (None for null), and one list for each column in ``also``, to one Arrow array per field. Columns ``carry``
@@ -91,6 +99,7 @@ def map_texts(df: DataFrame, text_col: str, carry: Sequence[str], fields: Sequen
                 columns = [piece.column(i) for i in range(n)]
                 given = [piece.column(i).to_pylist() for i in (m, *given_at)]
                 yield pa.RecordBatch.from_arrays([*columns, *work(*given)], names=[f.name for f in schema])
+        give_back()
 
     return source.mapInArrow(run, schema)
 
@@ -194,7 +203,7 @@ def lists(flat: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder for a written table: below ``spark.checkpoint.dir``, or a local one where that is unset (tests)."""
     root = shared_folder(spark)
-    return f"{root}/{name}-{next(tempfile._get_candidate_names())}-{os.getpid()}"
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def in_blocks(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, *extra: Column) -> DataFrame:
@@ -227,6 +236,18 @@ def bloom(hashes: DataFrame) -> np.ndarray:
     return out.view(np.uint64)
 
 
+def may_hold(spark: SparkSession, bits: np.ndarray, hashed: Column) -> Column:
+    """Whether a 64-bit hash may be in the filter, as a column; the filter travels as one value of 1 MB."""
+    table = spark.createDataFrame([(bits.view(np.int64).tolist(),)], "bits array<long>").scalar()
+
+    def one(h: Column) -> Column:
+        at = h.bitwiseAND(FILTER_BITS - 1)
+        word = F.get(table, F.shiftright(at, 6).cast("int"))
+        return F.call_function("shiftrightunsigned", word, at.bitwiseAND(63).cast("int")).bitwiseAND(1) == 1
+
+    return one(hashed) & one(F.shiftrightunsigned(hashed, 32))
+
+
 def passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
     """Which of the hashes (unsigned) may be in the filter."""
     good = np.ones(len(hashes), bool)

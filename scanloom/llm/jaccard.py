@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import LOWER, UPPER, Words, bloom, cut, documents, fresh, lists, map_texts, mix, passes, pieces, scratch, signed, spans_hash, windows
+from scanloom.llm.base import LOWER, UPPER, Words, bloom, cut, documents, fresh, give_back, lists, map_texts, may_hold, mix, pieces, scratch, signed, spans_hash, windows
 from scanloom.llm.components import components
 
 NO_ID = (1 << 63) - 1
@@ -132,23 +132,25 @@ def _keys(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
                             held.append(new)
                         classes.append(np.full(len(keys[-1]), name))
                 yield pa.RecordBatch.from_arrays([signed(np.concatenate(keys)), *(pa.array(np.concatenate(x)) for x in (classes, codes))], names=["key", "class", "code"])
+        give_back()
 
     return docs.select(text_col).mapInArrow(run, "key long, class long, code int")
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(node, class, text), once for each (node, class) in ``wanted``. A filter of fixed size keeps other texts from being moved."""
-    bits = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.xxhash64("node"))))
+    bits = bloom(wanted.select(F.xxhash64("node")))
 
     def run(batches):
         for batch in batches:
-            batch = batch.filter(pa.array(passes(batch.column(1).to_numpy().view(np.uint64), bits.value)))
-            for piece in pieces(batch, 2, PIECE_BYTES):
-                names = [class_hash(s) if len(s) else None for s in sets_of(piece.column(2).to_pylist(), size)]
-                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(names, pa.int64()), piece.column(2)], names=["node", "class", "text"])
+            for piece in pieces(batch, 1, PIECE_BYTES):
+                names = [class_hash(s) if len(s) else None for s in sets_of(piece.column(1).to_pylist(), size)]
+                yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(names, pa.int64()), piece.column(1)], names=["node", "class", "text"])
+        give_back()
 
     node = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
-    found = docs.select(node.alias("node"), F.xxhash64(node).alias("h"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "node long, class long, text string")
+    chosen = docs.select(node.alias("node"), F.col(text_col).cast("string").alias("text")).filter(may_hold(docs.sparkSession, bits, F.xxhash64("node")))
+    found = chosen.mapInArrow(run, "node long, class long, text string")
     return found.join(wanted, ["node", "class"], "left_semi").dropDuplicates(["node", "class"])
 
 
@@ -173,6 +175,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, siz
                     both = len(np.intersect1d(x, y, assume_unique=True))
                     keep[i] = 100 * both >= percent * (len(x) + len(y) - both)
                 yield pa.RecordBatch.from_arrays([piece.column(i).filter(pa.array(keep)) for i in (0, 1)], names=["a", "b"])
+        give_back()
 
     return two.mapInArrow(run, "a long, b long")
 

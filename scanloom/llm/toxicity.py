@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scanloom.llm.base import Words, crc_fold, documents, fresh, logistic, pieces, sigmoid
+from scanloom.llm.base import Words, crc_fold, documents, fresh, give_back, logistic, pieces, sigmoid
 
 # Parameters of the fit. The sample of labelled rows is bounded by SAMPLE_ROWS.
 SAMPLE_ROWS = 5_000
@@ -87,6 +87,7 @@ def char_counts(docs: DataFrame, text_col: str = "text") -> np.ndarray:
                 total += np.bincount((s[:-2] * 27 + s[1:-1]) * 27 + s[2:], minlength=27 ** 3)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["gram", "n"])
+        give_back()
 
     rows = docs.select(text_col).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     counts = np.zeros(27 ** 3)
@@ -360,6 +361,7 @@ def score(docs: DataFrame, model: Model, carry: list[str] | None = None, text_co
             batch = pa.RecordBatch.from_arrays([array], names=["text"])
             parts = [scorer(piece.column(0).to_pylist()) for piece in pieces(batch, 0, SCORE_BYTES)]
             yield pa.array(np.concatenate([np.zeros(0), *parts]))
+        give_back()
 
     scored = docs.select(*carry, scores(F.col(text_col).cast("string")).alias(names[0]))
     return scored.withColumn(names[1], (F.col(names[0]) >= 0.5).cast("int"))
