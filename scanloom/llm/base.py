@@ -226,19 +226,27 @@ def halves(table: pa.Table, text: int, most: int = BLOCK_BYTES) -> Iterator[pa.R
 FILTER_BITS = 1 << 23
 
 
-def bloom(hashes: DataFrame) -> np.ndarray:
-    """Bloom filter of the 64-bit hashes in the only column, of fixed size; more of them only let more pass."""
+def _filter_words(hashes: DataFrame) -> DataFrame:
+    """(word, bits) of a Bloom filter of the 64-bit hashes in the only column: at most FILTER_BITS / 64 rows, however
+    many hashes there are; more of them only let more pass."""
     h = F.col(hashes.columns[0])
     bits = hashes.select(F.explode(F.array(h, F.shiftrightunsigned(h, 32))).alias("h")).select(F.col("h").bitwiseAND(FILTER_BITS - 1).alias("bit"))
-    words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect()  # at most FILTER_BITS / 64
+    return bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits"))
+
+
+def bloom(hashes: DataFrame) -> np.ndarray:
+    """The filter as numbers, for tasks in Python."""
+    words = _filter_words(hashes).collect()  # at most FILTER_BITS / 64
     out = np.zeros(FILTER_BITS // 64, np.int64)
     out[[w["word"] for w in words]] = [w["bits"] for w in words]
     return out.view(np.uint64)
 
 
-def may_hold(spark: SparkSession, bits: np.ndarray, hashed: Column) -> Column:
-    """Whether a 64-bit hash may be in the filter, as a column; the filter travels as one value of 1 MB."""
-    table = spark.createDataFrame([(bits.view(np.int64).tolist(),)], "bits array<long>").scalar()
+def may_hold(hashes: DataFrame, hashed: Column) -> Column:
+    """Whether a 64-bit hash may be among ``hashes``: the filter, a value of 1 MB, is a scalar subquery."""
+    words = hashes.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "word").join(_filter_words(hashes), "word", "left")
+    dense = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))))
+    table = words.agg(dense.alias("words")).select(F.col("words.bits")).scalar()
 
     def one(h: Column) -> Column:
         at = h.bitwiseAND(FILTER_BITS - 1)

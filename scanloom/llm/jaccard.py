@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import LOWER, UPPER, Words, bloom, cut, documents, fresh, give_back, lists, map_texts, may_hold, mix, pieces, scratch, signed, spans_hash, windows
+from scanloom.llm.base import LOWER, UPPER, Words, cut, documents, fresh, give_back, lists, map_texts, may_hold, mix, pieces, scratch, signed, spans_hash, windows
 from scanloom.llm.components import components
 
 NO_ID = (1 << 63) - 1
@@ -139,8 +139,6 @@ def _keys(docs: DataFrame, text_col: str, size: int, percent: int) -> DataFrame:
 
 def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
     """(node, class, text), once for each (node, class) in ``wanted``. A filter of fixed size keeps other texts from being moved."""
-    bits = bloom(wanted.select(F.xxhash64("node")))
-
     def run(batches):
         for batch in batches:
             for piece in pieces(batch, 1, PIECE_BYTES):
@@ -149,7 +147,7 @@ def _texts(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, size:
         give_back()
 
     node = F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID))
-    chosen = docs.select(node.alias("node"), F.col(text_col).cast("string").alias("text")).filter(may_hold(docs.sparkSession, bits, F.xxhash64("node")))
+    chosen = docs.select(node.alias("node"), F.col(text_col).cast("string").alias("text")).filter(may_hold(wanted.select(F.xxhash64("node")), F.xxhash64("node")))
     found = chosen.mapInArrow(run, "node long, class long, text string")
     return found.join(wanted, ["node", "class"], "left_semi").dropDuplicates(["node", "class"])
 

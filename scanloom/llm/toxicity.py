@@ -344,6 +344,8 @@ def fit(docs: DataFrame, labels: DataFrame, held_out_fold: int | None = 0, sampl
             x[i, [place[w] for w in words & place.keys()]] = 1
         weights, model.bias = logistic(x, y, ridge=0.1)
         model.weights = {w: float(v) for w, v in zip(chosen, weights)}
+    del rows, found, plain
+    give_back()
     return model
 
 
