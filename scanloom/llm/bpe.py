@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import BLOCK_BYTES, lists, map_texts
+from scanloom.llm.base import BLOCK_BYTES, give_back, lists, map_texts
 
 KEPT_WORDS = 200_000
 
@@ -258,6 +258,7 @@ def decode(encoded: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id
             offsets = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset:][ends] if len(tokens) else np.zeros(len(ends), np.int32)
             decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets.astype(np.int32)), tokens.buffers()[2] or pa.py_buffer(b"")])
             yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[f.name for f in schema])
+        give_back()
 
     return encoded.select(*keep).mapInArrow(run, schema)
 

@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scanloom.llm.base import BLOCK_BYTES, LOWERED, documents, fresh, pieces, spans_hash
+from scanloom.llm.base import LOWERED, documents, fresh, give_back, pieces, spans_hash
 
 # Parameters: q, edits per code unit of an item in hundredths, shortest item that can be looked for, and the most
 # bytes of items that one scan of the documents carries to the tasks; more items are dealt into more scans.
 Q = 8
 EDIT_PERCENT = 10
 LEAST = 24
+PIECE_BYTES = 512 << 10
 INDEX_BYTES = 8 << 20
 _PLAIN = bytes(32 if b < 32 else LOWERED[b] for b in range(256))
 
@@ -191,12 +192,13 @@ def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
         def run(batches, items=items):
             index = Index(items.value, q, percent, least)
             for batch in batches:
-                for piece in pieces(batch, text_at, BLOCK_BYTES):
+                for piece in pieces(batch, text_at, PIECE_BYTES):
                     earlier = piece.column(piece.num_columns - 1).to_pylist()
                     for d, i, edits, start, end in index.hits(piece.column(text_at).to_pylist()):
                         earlier[d] = [*(earlier[d] or []), {"item_id": i, "edits": edits, "start_byte": start, "end_byte": end}]
                     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("start_byte", pa.int32()), ("end_byte", pa.int32())]))
                     yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(earlier, kind)], names=[f.name for f in schema])
+            give_back()
 
         out = out.mapInArrow(run, schema)
     return out
