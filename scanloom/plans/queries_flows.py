@@ -57,11 +57,80 @@ def _(t):
     return hl7.to_xml_document(t("adt")).select("msg_id", "xml")
 
 
-@query("i3_message_json", "SELECT msg_id, 'C' || CAST(msg_id AS STRING) AS control_id, 'A&B' AS third, 'X' || CAST(c_nationkey AS STRING) AS second_id FROM adt")
+def _msh_xml(app: str, facility: str, recv: str, kind: str, event: str, control: str, version: str) -> str:
+    """SQL text of the header's XML; the last five are SQL values."""
+    return (f"""'<MSH><MSH.1>|</MSH.1><MSH.2>^~' || chr(92) || '&amp;</MSH.2><MSH.3><HD.1>{app}</HD.1></MSH.3><MSH.4><HD.1>{facility}</HD.1></MSH.4><MSH.5><HD.1>RIS</HD.1></MSH.5><MSH.6><HD.1>' || {recv} || '</HD.1></MSH.6>"""
+            f"""<MSH.7><TS.1>20200101000000</TS.1></MSH.7><MSH.9><CM_MSG.1>' || {kind} || '</CM_MSG.1><CM_MSG.2>' || {event} || '</CM_MSG.2></MSH.9><MSH.10>' || {control} || '</MSH.10><MSH.11><PT.1>P</PT.1></MSH.11><MSH.12>' || {version} || '</MSH.12></MSH>'""")
+
+
+def _orm_xml() -> str:
+    """The order message rewritten text by text: observations, then order groups, around them the patient."""
+    b = "chr(92)"
+    obx = "regexp_replace(body, 'OBX[|]1[|]ST[|]([A-Z_]+)[^][A-Z_]+[^]99LOCAL[|][|]([^|]*)[|]+F.', '<@.OBSERVATION><OBX><OBX.1>1</OBX.1><OBX.2>ST</OBX.2><OBX.3><CE.1>' || {b}1 || '</CE.1><CE.2>' || {b}1 || '</CE.2><CE.3>99LOCAL</CE.3></OBX.3><OBX.5>' || {b}2 || '</OBX.5><OBX.11>F</OBX.11></OBX></@.OBSERVATION>', 'gs')"
+    obx = obx.replace("[^][A-Z_]+[^]99LOCAL", "' || chr(92) || '^[A-Z_]+' || chr(92) || '^99LOCAL").replace("{b}1", f"{b} || '1'").replace("{b}2", f"{b} || '2'")
+    orc = f"regexp_replace({obx}, 'ORC[|]NW[|]([0-9]+-[0-9])' || chr(13) || 'OBR[|]([0-9])' || chr(13), '</@.ORDER_DETAIL></@.ORDER><@.ORDER><ORC><ORC.1>NW</ORC.1><ORC.2><EI.1>' || {b} || '1</EI.1></ORC.2></ORC><@.ORDER_DETAIL><OBR><OBR.1>' || {b} || '2</OBR.1></OBR>', 'g')"
+    orders = f"replace(substr({orc}, length('</@.ORDER_DETAIL></@.ORDER>') + 1), {b} || 'S' || {b}, '^') || '</@.ORDER_DETAIL></@.ORDER>'"
+    head = _msh_xml("HIS", "F", "'R'", "'ORM'", "'O01'", "'C' || CAST(o_orderkey AS STRING)", "CASE WHEN o_orderkey % 12 = 0 THEN '2.3' ELSE '2.5' END")
+    patient = "'<@.PATIENT><PID><PID.3><CX.1>' || CAST(o_custkey AS STRING) || '</CX.1><CX.4><HD.1>X</HD.1></CX.4></PID.3></PID></@.PATIENT>'"
+    return f"""SELECT msg_id, replace('<@ xmlns="urn:hl7-org:v2xml">' || {head} || {patient} || {orders} || '</@>', '@', 'ORM_O01') AS xml FROM (SELECT *, substr(raw, strpos(raw, 'ORC|')) AS body FROM orm)"""
+
+
+@query("i2_order_xml", _orm_xml())
+def _(t):
+    return hl7.to_xml_document(t("orm")).select("msg_id", "xml")
+
+
+_ORU_XML = f"""SELECT msg_id, replace(replace('<ORU_R01 xmlns="urn:hl7-org:v2xml">' || {_msh_xml("LAB", "F", "'R'", "'ORU'", "'R01'", "'C' || CAST(o_orderkey AS STRING)", "CASE WHEN o_orderkey % 2 = 0 THEN '2.3' ELSE '2.5' END")}
+  || '<@.$><@.PATIENT><PID><PID.3><CX.1>' || CAST(o_custkey AS STRING) || '</CX.1><CX.4><HD.1>X</HD.1></CX.4></PID.3></PID><@.VISIT><PV1><PV1.2>' || o_orderstatus || '</PV1.2></PV1></@.VISIT></@.PATIENT>'
+  || '<@.ORDER_OBSERVATION><OBR><OBR.1>1</OBR.1></OBR><@.OBSERVATION><OBX><OBX.1>1</OBX.1><OBX.2>NM</OBX.2><OBX.3><CE.1>A</CE.1></OBX.3><OBX.5>' || CAST(o_custkey AS STRING) || '</OBX.5></OBX><NTE><NTE.1>1</NTE.1><NTE.3>' || o_orderpriority || '</NTE.3></NTE></@.OBSERVATION>'
+  || '<@.OBSERVATION><OBX><OBX.1>2</OBX.1><OBX.2>CE</OBX.2><OBX.3><CE.1>B</CE.1></OBX.3><OBX.5><CE.1>' || o_orderstatus || '</CE.1><CE.2>' || o_orderpriority || '</CE.2></OBX.5></OBX></@.OBSERVATION></@.ORDER_OBSERVATION>'
+  || '<@.ORDER_OBSERVATION><ORC><ORC.1>RE</ORC.1></ORC><OBR><OBR.1>2</OBR.1></OBR><ZZ1><ZZ1.1>own</ZZ1.1></ZZ1>'
+  || CASE WHEN o_orderkey % 3 = 0 THEN '<@.SPECIMEN><SPM><SPM.1>1</SPM.1></SPM><OBX><OBX.1>1</OBX.1><OBX.2>ST</OBX.2><OBX.3><CE.1>C</CE.1></OBX.3><OBX.5>x</OBX.5></OBX></@.SPECIMEN>' ELSE '' END
+  || '</@.ORDER_OBSERVATION></@.$></ORU_R01>', '@', 'ORU_R01'), '$', CASE WHEN o_orderkey % 2 = 0 THEN 'RESPONSE' ELSE 'PATIENT_RESULT' END) AS xml FROM oru"""
+
+
+@query("i2_result_xml", _ORU_XML)
+def _(t):
+    return hl7.to_xml_document(t("oru")).select("msg_id", "xml")
+
+
+def _json_lines(*parts) -> str:
+    """SQL text of a pretty JSON object from (depth, name, SQL text value or bracket) lines; commas are in the values."""
+    out = ["'{'"]
+    for depth, name, value in parts:
+        out.append(f"chr(10) || '{'  ' * depth}' || " + (f"""'"{name}": ' || """ if name else "") + value)
+    return " || ".join([*out, "chr(10) || '}'"])
+
+
+def _quoted(value: str, comma: bool = True) -> str:
+    return f"""'"' || {value} || '"{',' if comma else ''}'"""
+
+
+def _one(depth: int, name: str, inner: str, value: str) -> list:
+    return [(depth, name, "'{'"), (depth + 1, inner, _quoted(value, False)), (depth, "", "'},'")]
+
+
+_HAS_FACILITY = "c_nationkey <> 3"
+_ADT_JSON = _json_lines(
+    (1, "MSH", "'{'"), (2, "MSH.1", _quoted("'|'")), (2, "MSH.2", _quoted("'^~' || chr(92) || chr(92) || '&'")), *_one(2, "MSH.3", "HD.1", "'HIS'"),
+    (2, "MSH.4", f"""'{{' || chr(10) || '      "HD.1": "F' || CAST(c_nationkey AS STRING) || '"' || chr(10) || '    }},'"""),
+    *_one(2, "MSH.5", "HD.1", "'RIS'"), *_one(2, "MSH.6", "HD.1", "c_mktsegment"), *_one(2, "MSH.7", "TS.1", "'20200101000000'"),
+    (2, "MSH.9", "'{'"), (3, "CM_MSG.1", _quoted("'ADT'")), (3, "CM_MSG.2", _quoted(_ADT_EVENT, False)), (2, "", "'},'"), (2, "MSH.10", _quoted("'C' || CAST(msg_id AS STRING)")),
+    *_one(2, "MSH.11", "PT.1", "'P'"), (2, "MSH.12", _quoted("CASE WHEN msg_id % 2 = 0 THEN '2.3' ELSE '2.5' END", False)), (1, "", "'},'"),
+    (1, "EVN", "'{'"), (2, "EVN.1", _quoted("'A04'")), *_one(2, "EVN.2", "TS.1", f"'{EVENT_TIME}'"),
+    (2, "EVN.5", "'{'"), (3, "CN.2", _quoted(f"'{EVENT_OPERATOR[0]}'")), (3, "CN.3", _quoted(f"'{EVENT_OPERATOR[1]}'", False)), (2, "", "'}'"), (1, "", "'},'"),
+    (1, "PID", "'{'"), (2, "PID.1", _quoted("'1'")), (2, "PID.3", "'['"), (3, "", "'{'"), (4, "CX.1", _quoted("CAST(msg_id AS STRING)")), (4, "CX.4", "'{'"), (5, "HD.1", _quoted("'HD'", False)), (4, "", "'}'"), (3, "", "'},'"),
+    (3, "", "'{'"), (4, "CX.1", _quoted("'X' || CAST(c_nationkey AS STRING)", False)), (3, "", "'}'"), (2, "", "'],'"),
+    (2, "PID.5", "'{'"), (3, "XPN.1", _quoted("split_part(c_name, '#', 1)")), (3, "XPN.2", _quoted("split_part(c_name, '#', 2)")), (3, "XPN.3", _quoted("'A&B'", False)), (2, "", "'}'"), (1, "", "'}'"))
+_NO_FACILITY = """chr(10) || '    "MSH.4": {' || chr(10) || '      "HD.1": "F3"' || chr(10) || '    },'"""
+
+
+@query("i3_message_json", f"""SELECT msg_id, 'C' || CAST(msg_id AS STRING) AS control_id, 'A&B' AS third, 'X' || CAST(c_nationkey AS STRING) AS second_id,
+  CASE WHEN {_HAS_FACILITY} THEN {_ADT_JSON} ELSE replace({_ADT_JSON}, {_NO_FACILITY}, '') END AS json FROM adt""")
 def _(t):
     j = hl7.to_json_document(t("adt")).select("msg_id", "json")
     return j.select("msg_id", F.get_json_object("json", "$.MSH['MSH.10']").alias("control_id"), F.get_json_object("json", "$.PID['PID.5']['XPN.3']").alias("third"),
-                    F.get_json_object("json", "$.PID['PID.3'][1]['CX.1']").alias("second_id"))
+                    F.get_json_object("json", "$.PID['PID.3'][1]['CX.1']").alias("second_id"), "json")
 
 
 @query("i4_xml_to_message", "SELECT msg_id, raw FROM adt")
@@ -70,27 +139,40 @@ def _(t):
     return hl7.from_xml_document(xml, "xml", "raw").select("msg_id", "raw")
 
 
+@query("i4_order_round_trip", "SELECT msg_id, raw FROM orm")
+def _(t):
+    xml = hl7.to_xml_document(t("orm")).select("msg_id", "xml")
+    return hl7.from_xml_document(xml, "xml", "raw").select("msg_id", "raw")
+
+
 _ORM_ERROR = """CASE WHEN o_orderkey % 12 = 0 THEN 'Expected HL7 v2.5 ORM^O01 message' WHEN o_orderkey % 11 = 0 THEN 'Expected exactly one distinct value for PROJECT_ID, found 2: [' || o_orderpriority || ', OTHER]'
   WHEN o_orderkey % 10 = 4 THEN 'Invalid DATE_SHIFT_DAYS: outside +/-36500 days' WHEN o_orderkey % 10 = 6 THEN 'DELIVERY_AET is not allowed for DOWNLOAD' END"""
+_CUST_TEXT = "CAST(o_custkey AS STRING)"
+_ORM_ORDER = ["study_order_id", "order_id", "project_id", "pseudonym_pid", "pseudonym_name", "source_pacs", "destination_aet", "study_uid", "requester", "requester_email", "delivery_aet", "delivery_host", "delivery_port",
+              "delivery_directory", "delivery_folder", "delivery_type", "date_shift_days", "patient_id", "series_uid", "content", "mime_type"]
 
 
 def _orm_rows(n: int, series: str, where: str = "true") -> str:
-    study = f"'1.2.840.99.2.' || CAST(o_custkey AS STRING) || '.{n}'"
-    shift = "CASE WHEN o_orderkey % 10 = 3 THEN 7 END" if n == 2 else "CAST(NULL AS INT)"
-    kind = "CASE WHEN o_orderkey % 10 = 5 THEN 'DIRECTORY' ELSE 'DOWNLOAD' END" if n == 2 else "'DOWNLOAD'"
-    folder = "CASE WHEN o_orderkey % 10 = 5 THEN 'cohort' END" if n == 2 else "NULL"
-    return (f"SELECT msg_id, 'success' AS route, NULL AS error_message, CAST(o_orderkey AS STRING) || '-{n}' AS study_order_id, {_UUID.format('o_orderkey')} AS order_id, 'PS^' || CAST(o_custkey AS STRING) AS pseudonym_name, "
-            f"CAST(o_custkey AS STRING) AS patient_id, 'C' || CAST(o_orderkey AS STRING) AS message_control_id, {study} || ',' || {series} AS content, {kind} AS delivery_type, {folder} AS delivery_folder, {shift} AS date_shift_days "
-            f"FROM orm WHERE ({_ORM_ERROR}) IS NULL AND {where}")
+    def second(rest: int, value: str, other: str = "NULL") -> str:
+        return f"CASE WHEN o_orderkey % 10 = {rest} THEN {value} ELSE {other} END" if n == 2 else other
+
+    study = f"'1.2.840.99.2.' || {_CUST_TEXT} || '.{n}'"
+    values = {
+        "study_order_id": f"CAST(o_orderkey AS STRING) || '-{n}'", "order_id": _UUID.format("o_orderkey"), "project_id": "o_orderpriority", "pseudonym_pid": f"'PS-' || {_CUST_TEXT}", "pseudonym_name": f"'PS^' || {_CUST_TEXT}",
+        "source_pacs": "'PACS'", "destination_aet": "'PORTAL'", "study_uid": study, "requester": "'user'", "requester_email": "'mail'", "delivery_aet": second(7, f"'AE' || {_CUST_TEXT}"), "delivery_host": second(7, "'pacs.example.org'"),
+        "delivery_port": second(7, "'104'"), "delivery_directory": second(5, "'disk'"), "delivery_folder": second(5, "'cohort'"), "delivery_type": second(5, "'DIRECTORY'", second(7, "'DICOM_STORE'", "'DOWNLOAD'")),
+        "date_shift_days": f"CAST({second(3, '7')} AS INT)", "patient_id": _CUST_TEXT, "series_uid": series, "content": f"{study} || ',' || {series}", "mime_type": "'text/csv'"}
+    columns = ", ".join(f"{values[c]} AS {c}" for c in _ORM_ORDER)
+    return f"SELECT msg_id, 'success' AS route, NULL AS error_message, 'C' || CAST(o_orderkey AS STRING) AS message_control_id, {columns} FROM orm WHERE ({_ORM_ERROR}) IS NULL AND {where}"
 
 
 _SERIES = "'1.2.840.99.3.' || CAST(o_custkey AS STRING) || '.{}.1'"
 
 
 @query("i5_order_extraction", f"""{_orm_rows(1, _SERIES.format(1))} UNION ALL {_orm_rows(1, "'1.2.840.99.3.7'", 'o_orderkey % 4 = 1')} UNION ALL {_orm_rows(2, _SERIES.format(2))}
-UNION ALL SELECT msg_id, 'failure', {_ORM_ERROR}, NULL, NULL, NULL, NULL, 'C' || CAST(o_orderkey AS STRING), NULL, NULL, NULL, NULL FROM orm WHERE ({_ORM_ERROR}) IS NOT NULL""")
+UNION ALL SELECT msg_id, 'failure', {_ORM_ERROR}, 'C' || CAST(o_orderkey AS STRING), {", ".join(["NULL"] * len(_ORM_ORDER))} FROM orm WHERE ({_ORM_ERROR}) IS NOT NULL""")
 def _(t):
-    return hl7.extract_orders(t("orm")).select("msg_id", "route", "error_message", "study_order_id", "order_id", "pseudonym_name", "patient_id", "message_control_id", "content", "delivery_type", "delivery_folder", "date_shift_days")
+    return hl7.extract_orders(t("orm"))
 
 
 @query("i6_structure_guard", "SELECT msg_id, msg_id % 3 <> 0 AND msg_id % 2 = 0 AS accepted FROM adt")

@@ -109,6 +109,17 @@ def _(t):
     return m.select("msg_id", "order_no", F.size(F.col("m")["SERIES_UID"]).alias("series"), F.array_join(F.col("m")["PROJECT_ID"], ",").alias("projects"))
 
 
+@query("f11_observation_values", """SELECT msg_id, order_no, code, string_agg(v, ',' ORDER BY pos) AS found FROM (
+SELECT msg_id, order_no, pos, split_part(split_part(seg, '|', 4), '^', 1) AS code, replace(split_part(seg, '|', 6), chr(92) || 'S' || chr(92), '^') AS v FROM (
+SELECT msg_id, order_no, unnest(segs) AS seg, unnest(range(1, len(segs) + 1)) AS pos FROM (
+SELECT msg_id, order_no, string_split(part, chr(13)) AS segs FROM (SELECT msg_id, unnest(string_split(raw, 'ORC|')[2:]) AS part, unnest(range(1, len(string_split(raw, 'ORC|')))) AS order_no FROM orm))) WHERE seg LIKE 'OBX|%') GROUP BY ALL""")
+def _(t):
+    from scanloom.operators import hl7
+    groups = t("orm").withColumn("_s", hl7.segments("raw")).select("msg_id", F.posexplode(hl7.order_groups("_s")).alias("order_no", "g"))
+    values = groups.select("msg_id", (F.col("order_no") + 1).alias("order_no"), F.explode(hl7.observation_map("g.observations")).alias("code", "_v"))
+    return values.select("msg_id", "order_no", "code", F.array_join("_v", ",").alias("found"))
+
+
 @query("f12_entry_name_digest", "SELECT package, count(*) AS entry_count, sha256(string_agg(entry_name, chr(10) ORDER BY entry_name)) AS names_sha256 FROM (SELECT DISTINCT package, entry_name FROM package_actual) GROUP BY package")
 def _(t):
     return packages.entry_name_digest(t("package_actual"), ["package"])

@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 # Derived tables whose rows take much work; tiny inputs in one file would keep one core busy.
-WIDE = ("elements", "loose_elements", "orm", "adt")
+WIDE = ("elements", "loose_elements", "orm", "adt", "oru")
 
 
 def _spread(df: DataFrame) -> DataFrame:
