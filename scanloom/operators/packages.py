@@ -6,12 +6,13 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scanloom.functions.text import (
     DIRECTORY_PATTERN, FOLDER_PATTERN, SHA256_PATTERN, UUID_PATTERN, first_error, full_match, is_blank, json_error, path_segment_ok, truncated)
-from scanloom.operators.keyed import lookup_join, numbered, smallest_per_group
+from scanloom.operators.keyed import numbered
 from scanloom.operators.routing import FAILURE, SUCCESS
 
 FRAGMENT_INVALID, VALIDATION_FAILED = "ZIP_FRAGMENT_INVALID", "ZIP_VALIDATION_FAILED"
@@ -71,69 +72,87 @@ def numbered_fragments(entries: DataFrame, group: list[str], tie: str) -> DataFr
     return numbered(entries, group, tie, "fragment_index", "fragment_count")
 
 
-def _digest_sorted(keys: list[str], name: str, schema: pa.Schema):
+def _digest_sorted(keys: list[str], name: str):
+    """Digest and count of each run of equal keys in a sorted stream; keys keep their Arrow type."""
+    def finished(rows: pa.RecordBatch, counts: list[int], digests: list[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*rows.columns, pa.array(counts, pa.int64()), pa.array(digests, pa.string())], names=[*keys, "entry_count", "names_sha256"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, state = None, None
+        current, held, state, count = None, None, None, 0  # held: the key columns of the open run
         for batch in batches:
-            rows = batch.to_pydict()
-            done = []
-            for *key, value in zip(*[rows[k] for k in keys], rows[name]):
-                if key != current:
-                    if state is not None:
-                        done.append((*current, state.hexdigest()))
-                    current, state = key, hashlib.sha256(value.encode())
-                else:
+            rows = batch.select(keys)
+            begun, counts, digests, begin = [], [], [], None
+            for at, (*key, value) in enumerate(zip(*[c.to_pylist() for c in rows.columns], batch.column(name).to_pylist())):
+                if state is not None and key == current:
                     state.update(b"\n" + value.encode())
-            if done:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*done), schema)], schema=schema)
+                    count += 1
+                    continue
+                if state is not None and begin is None:
+                    yield finished(held, [count], [state.hexdigest()])
+                elif state is not None:
+                    begun.append(begin)
+                    counts.append(count)
+                    digests.append(state.hexdigest())
+                current, begin, state, count = key, at, hashlib.sha256(value.encode()), 1
+            if begun:
+                yield finished(rows.take(pa.array(begun)), counts, digests)
+            if begin is not None:
+                held = rows.slice(begin, 1)
         if state is not None:
-            last = (*current, state.hexdigest())
-            yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(last, schema)], schema=schema)
+            yield finished(held, [count], [state.hexdigest()])
 
     return run
 
 
-def entry_name_digest(entries: DataFrame, keys: list[str], name: str = "entry_name", in_memory: int = 100_000) -> DataFrame:
-    """SHA-256 of the sorted distinct names of each package, joined by line feeds.
+def _digests(names: DataFrame, keys: list[str], name: str) -> DataFrame:
+    schema = T.StructType([*names.select(*keys).schema.fields, T.StructField("entry_count", T.LongType()), T.StructField("names_sha256", T.StringType())])
+    return names.select(*keys, name).repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, name).mapInArrow(_digest_sorted(keys, name), schema)
+
+
+def entry_name_digest(entries: DataFrame, keys: list[str], name: str = "entry_name") -> DataFrame:
+    """Number and SHA-256 of the sorted distinct names of each package, joined by line feeds.
 
-    Names are made distinct first, an evenly spread step. Packages of up to ``in_memory`` names
-    are joined in memory; larger ones are hashed incrementally over a spilled sort, in constant
-    memory. (One digest is sequential by definition, so one package is never split.)
+    Names are made distinct first, an evenly spread step; then one sorted stream of each package is
+    hashed name by name, in constant memory whatever its size. (One digest is sequential by
+    definition, so one package is never split.) NULL names do not count; keys may have any type, and
+    a NULL key is a package of its own.
     """
-    names = entries.select(*keys, name).filter(F.col(name).isNotNull()).distinct()
-    sizes = names.groupBy(*keys).agg(F.count(F.lit(1)).alias("entry_count"))
-    sized = lookup_join(names, sizes, keys, name, "inner")
-    small = (sized.filter(F.col("entry_count") <= in_memory).groupBy(*keys, "entry_count")
-             .agg(F.sha2(F.array_join(F.array_sort(F.collect_list(name)), "\n"), 256).alias("names_sha256")))
-    fields = [f for f in entries.select(*keys).schema.fields]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", names_sha256 string"
-    kinds = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-    schema = pa.schema([(f.name, kinds[f.dataType.simpleString()]) for f in fields] + [("names_sha256", pa.string())])
-    large = sized.filter(F.col("entry_count") > in_memory).select(*keys, name)
-    hashed = large.repartition(*[F.col(k) for k in keys]).sortWithinPartitions(*keys, name).mapInArrow(_digest_sorted(keys, name, schema), ddl)
-    return small.unionByName(hashed.join(sizes, keys))
+    return _digests(entries.select(*keys, name).filter(F.col(name).isNotNull()).distinct(), keys, name)
 
 
-def compare_entries(expected: DataFrame, actual: DataFrame, keys: list[str], name: str = "entry_name", shown: int = 20) -> DataFrame:
-    """Per package: counts and first names missing, unexpected, duplicated or directories.
+def _flagged(expected: DataFrame, actual: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """One row per package and name with its number of times on both sides, in one even grouping."""
+    sides = expected.select(*keys, name, F.lit(1).alias("_e"), F.lit(0).alias("_a")).unionAll(actual.select(*keys, name, F.lit(0), F.lit(1)))
+    return sides.groupBy(*keys, name).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
 
-    The names meet on (package, name), which is even; a package only ever gathers its counters
-    and at most ``shown`` names per list.
-    """
-    e = expected.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_e"))
-    a = actual.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_a"))
-    both = e.join(a, [*keys, name], "full").withColumn("_e", F.coalesce("_e", F.lit(0))).withColumn("_a", F.coalesce("_a", F.lit(0)))
+
+def _compared(both: DataFrame, keys: list[str], name: str, shown: int) -> DataFrame:
+    missing, unexpected = (F.col("_e") > 0) & (F.col("_a") == 0), (F.col("_a") > 0) & (F.col("_e") == 0)
     totals = both.groupBy(*keys).agg(
         F.sum("_e").alias("expected_entries"), F.count_if(F.col("_e") > 0).alias("expected_names"), F.count_if(F.col("_a") > 0).alias("actual_names"),
-        F.count_if((F.col("_e") > 0) & (F.col("_a") == 0)).alias("missing"), F.count_if((F.col("_a") > 0) & (F.col("_e") == 0)).alias("unexpected"),
+        F.count_if(missing).alias("missing"), F.count_if(unexpected).alias("unexpected"),
         F.min(F.when(F.col("_a") > 1, F.col(name))).alias("duplicate_name"),
         F.min(F.when((F.col("_a") > 0) & F.col(name).endswith("/"), F.col(name))).alias("directory_name"))
-    lists = [smallest_per_group(both.filter(cond), keys, name, shown, out) for cond, out in (
-        ((F.col("_e") > 0) & (F.col("_a") == 0), "missing_names"), ((F.col("_a") > 0) & (F.col("_e") == 0), "unexpected_names"))]
-    for extra in lists:
-        totals = totals.join(extra, keys, "left")
+    # The rank limit is pushed below the shuffle: a map task sends at most ``shown`` names per package and side.
+    rank = F.row_number().over(Window.partitionBy(*keys, "_missing").orderBy(name))
+    ranked = both.filter(missing | unexpected).withColumn("_missing", missing).withColumn("_rank", rank).filter(F.col("_rank") <= shown)
+
+    def names(side):
+        return F.array_sort(F.collect_list(F.when(side, F.col(name))))
+
+    lists = ranked.groupBy(*keys).agg(names(F.col("_missing")).alias("missing_names"), names(~F.col("_missing")).alias("unexpected_names"))
     none = F.array().cast("array<string>")
-    return totals.withColumn("missing_names", F.coalesce("missing_names", none)).withColumn("unexpected_names", F.coalesce("unexpected_names", none))
+    return (totals.join(lists, keys, "left").withColumn("missing_names", F.coalesce("missing_names", none))
+            .withColumn("unexpected_names", F.coalesce("unexpected_names", none)))
+
+
+def compare_entries(expected: DataFrame, actual: DataFrame, keys: list[str], name: str = "entry_name", shown: int = 20) -> DataFrame:
+    """Per package: counts and first names missing, unexpected, duplicated or directories.
+
+    The names meet on (package, name), which is even; a package only ever gathers its counters
+    and at most ``shown`` names per list.
+    """
+    return _compared(_flagged(expected, actual, keys, name), keys, name, shown)
 
 
 def duplicate_entries(actual: DataFrame, keys: list[str], name: str = "entry_name") -> DataFrame:
@@ -145,14 +164,17 @@ def entry_difference(left: DataFrame, right: DataFrame, keys: list[str], name: s
     return left.select(*keys, name).distinct().join(right.select(*keys, name).distinct(), [*keys, name], "left_anti")
 
 
-def validate_packages(packages: DataFrame, expected: DataFrame, actual: DataFrame, keys: list[str], name: str = "entry_name", in_memory: int = 100_000) -> DataFrame:
+def validate_packages(packages: DataFrame, expected: DataFrame, actual: DataFrame, keys: list[str], name: str = "entry_name") -> DataFrame:
     """Check each package against its manifest; adds validated, error_code and error_message.
 
     ``packages``: one row per package with keys, manifest_order_id, manifest_retrieve_id, order_id,
     retrieve_id, fragment_count and entry_names_sha256 (NULL: compare with the ``expected`` names).
     """
-    compared = compare_entries(expected, actual, keys, name)
-    digests = entry_name_digest(actual, keys, name, in_memory).select(*keys, "names_sha256")
+    both = _flagged(expected, actual, keys, name)
+    compared = _compared(both, keys, name, 20)
+    # Both counts are asked for, so that the grouping is the same plan in every use and its shuffle is done once.
+    present = both.filter((F.col("_a") > 0) & (F.col("_e") >= 0) & F.col(name).isNotNull())
+    digests = _digests(present, keys, name).select(*keys, "names_sha256")
     df = packages.join(compared, keys, "left").join(digests, keys, "left")
     df = df.fillna(0, ["expected_entries", "expected_names", "actual_names", "missing", "unexpected"])
     digest = F.nullif(F.lower("entry_names_sha256"), F.lit(""))

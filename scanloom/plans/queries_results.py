@@ -162,7 +162,7 @@ def _(t):
 @query("g5_sorted_names", "SELECT package, count(*) AS entry_count, sha256(string_agg(entry_name, chr(10) ORDER BY entry_name)) AS names_sha256 FROM package_expected GROUP BY package")
 def _(t):
     # A limit of 50 sends the larger packages through the incremental path over a spilled sort.
-    return packages.entry_name_digest(t("package_expected"), ["package"], in_memory=50)
+    return packages.entry_name_digest(t("package_expected"), ["package"])
 
 
 @query("g6_first_twenty", "SELECT package, string_agg(entry_name, ',' ORDER BY entry_name) AS names FROM (SELECT *, row_number() OVER (PARTITION BY package ORDER BY entry_name) AS r FROM package_expected) WHERE r <= 20 GROUP BY package")

@@ -146,14 +146,35 @@ def test_package_validation(spark):
     expected = spark.createDataFrame([(p[0], n) for p in pk for n in names] + [("p6", "c.dcm")], "package string, entry_name string")
     actual = {p[0]: names for p in pk} | {"p5": ["a.dcm", "a.dcm", "b.dcm"], "p7": ["a.dcm", "z.dcm"], "p8": ["a.dcm", "d/"]}
     act = spark.createDataFrame([(p, n) for p, ns in actual.items() for n in ns], "package string, entry_name string")
-    for limit in (100_000, 1):
-        got = {r["package"]: r for r in packages.validate_packages(packs, expected, act, ["package"], in_memory=limit).collect()}
-        assert got["p1"]["validated"] and got["p2"]["validated"]
-        assert got["p3"]["error_message"] == "ZIP entry names do not match manifest (SHA-256 mismatch, 2 entries)"
-        assert got["p4"]["error_message"] == "Manifest order/retrieval mismatch" and got["p5"]["error_message"] == "Duplicate ZIP entry: a.dcm"
-        assert got["p6"]["error_message"] == "ZIP entry count mismatch: expected=3, actual=2"
-        assert got["p7"]["error_message"] == "ZIP contents do not match manifest. Missing=[b.dcm], Unexpected=[z.dcm]" and got["p8"]["error_message"] == "Unexpected ZIP directory: d/"
-        assert got["p7"]["error_code"] == "ZIP_VALIDATION_FAILED"
+    got = {r["package"]: r for r in packages.validate_packages(packs, expected, act, ["package"]).collect()}
+    assert got["p1"]["validated"] and got["p2"]["validated"]
+    assert got["p3"]["error_message"] == "ZIP entry names do not match manifest (SHA-256 mismatch, 2 entries)"
+    assert got["p4"]["error_message"] == "Manifest order/retrieval mismatch" and got["p5"]["error_message"] == "Duplicate ZIP entry: a.dcm"
+    assert got["p6"]["error_message"] == "ZIP entry count mismatch: expected=3, actual=2"
+    assert got["p7"]["error_message"] == "ZIP contents do not match manifest. Missing=[b.dcm], Unexpected=[z.dcm]" and got["p8"]["error_message"] == "Unexpected ZIP directory: d/"
+    assert got["p7"]["error_code"] == "ZIP_VALIDATION_FAILED"
+
+
+def test_name_digests_over_batches_and_key_types(spark):
+    from datetime import date
+    from decimal import Decimal
+    rows = [(date(2024, 1, 1 + i % 3) if i % 4 else None, Decimal(i % 2), f"n{i % 90:03d}.dcm" if i % 50 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "day date, part decimal(5,1), entry_name string")
+    want: dict = {}
+    for day, part, entry in rows:
+        if entry is not None:
+            want.setdefault((day, part), set()).add(entry)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for batch in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+            got = packages.entry_name_digest(df, ["day", "part"]).collect()
+            assert {(r["day"], r["part"]): (r["entry_count"], r["names_sha256"]) for r in got} == {
+                k: (len(v), hashlib.sha256("\n".join(sorted(v)).encode()).hexdigest()) for k, v in want.items()}
+            assert len(got) == len(want)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert packages.entry_name_digest(df.limit(0), ["day"]).count() == 0
 
 
 def test_fragments_and_targets(spark):
