@@ -72,6 +72,10 @@ def test_reference_repair(spark):
     assert {r["sop_instance_uid"] for r in out.collect()} == {"a"} and out.count() == 3
     assert out.filter("keyword = 'SeriesInstanceUID'").first()["values"] == ["9.9"]
     assert R.remap_reference(df).filter("keyword = 'SeriesInstanceUID'").first()["values"][0].startswith("2.25.")
+    bare = elements(spark, [rows[0], rows[2]], "a")  # the path without the attribute
+    added = R.set_reference(bare, series).filter("keyword = 'SeriesInstanceUID'").collect()
+    assert [(r["tag"], r["vr"], r["values"], len(r["item_path"])) for r in added] == [("0020000E", "UI", ["9.9"], 3)]
+    assert R.set_reference(bare, series).count() == 3 and R.remap_reference(bare).count() == 0
 
 
 def test_mark_clean_pixels_once(spark):
