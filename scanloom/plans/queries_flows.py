@@ -356,7 +356,8 @@ def stream_query(name: str, sql: str | None = None):
         def run(spark, sf_dir):
             def stream(n):
                 schema = spark.read.parquet(f"{sf_dir}/{n}.parquet").schema
-                return spark.readStream.schema(schema).option("pathGlobFilter", f"{n}.parquet").parquet(sf_dir)
+                # A pattern stands for a table of one file as well as for a folder of files.
+                return spark.readStream.schema(schema).parquet(f"{sf_dir}/{n}.parque[t]")
 
             folder = f"{checkpoint_root(spark)}/{uuid.uuid4().hex}"
             return fn(stream, lambda n: table(spark, sf_dir, n), folder)

@@ -11,7 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 from test_deid import SAMPLE, SOP, elements
 
+import __spark_entry__  # noqa: F401
 from scanloom.operators import hl7
+from scanloom.plans.registry import QUERIES
 from scanloom.sources import headerfiles, instances, messages, sinks
 from scanloom.streaming import flows
 
@@ -219,3 +221,10 @@ def test_idempotent_stream(spark, tmp_path, checkpoints):
     stream = spark.readStream.schema("event_id string, ts timestamp").parquet(str(tmp_path / "in"))
     flows.ingest(flows.idempotent(stream, "ts"), str(tmp_path / "out"), "idem").awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
+
+def test_stream_queries_read_tables_of_many_files(spark, tmp_path):
+    rows = [(c, t, "user", "x") for c in range(4) for t in range(3)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    out = {r.fragment_group: (r.fragment_count, r.state) for r in QUERIES["m3_defragmented_series"](spark, str(tmp_path)).collect()}
+    assert out == {"0": (4, "OPEN"), "1": (3, "COMPLETE"), "2": (3, "COMPLETE"), "3": (4, "OPEN")}
