@@ -52,14 +52,14 @@ def parsed_requests(requests: DataFrame, level: str, content: str = "content") -
     return out.drop("_k").withColumn("route", F.when(is_blank(content) | missing, FAILURE).otherwise(SUCCESS))
 
 
-def matched(requests: DataFrame, matches: DataFrame, on: list[str], optional: str | None = None, spread: str = "request_id") -> DataFrame:
+def matched(requests: DataFrame, matches: DataFrame, on: list[str], optional: str | None = None) -> DataFrame:
     """Requests joined with their matches; ``optional`` narrows only where the request names it.
 
-    Keeps requests without a match. One study may hold very many instances, so the match side is
-    the spread one and the requests are offered in every slot.
+    Requests may be many and need not be few per study, so neither side is copied nor broadcast: a merge join, in which
+    Spark cuts the partition of a study with very many instances or requests.
     """
     asked = requests.select("request_id", *on, *([F.col(optional).alias("_want")] if optional else []))
-    found = lookup_join(matches, asked, on, spread, "inner")
+    found = matches.join(asked.hint("merge"), on)
     if optional:
         found = found.filter(F.col("_want").isNull() | (F.col("_want") == F.col(optional))).drop("_want")
     return found
@@ -71,7 +71,7 @@ def answered(requests: DataFrame, matches: DataFrame, on: list[str], tie: str, o
     A request without a match stays as one row routed ``not found`` with count 0.
     """
     valid = requests.filter(F.col("route") == SUCCESS)
-    found = numbered(matched(valid, matches, on, optional, tie), ["request_id"], tie, "match_index", "match_count")
+    found = numbered(matched(valid, matches, on, optional), ["request_id"], tie, "match_index", "match_count")
     hits = found.withColumn("route", F.lit(SUCCESS))
     # One row per answered request is enough to tell which requests have no answer.
     empty = (valid.select("request_id").join(found.select("request_id").distinct(), "request_id", "left_anti")

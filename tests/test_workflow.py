@@ -207,3 +207,19 @@ def test_rows_without_a_tie_are_numbered_too(spark):
     got = keyed.numbered(df, ["grp"], "tie", "n", "total").collect()
     assert sorted((r["grp"] or "", r["n"], r["total"]) for r in got) == [("", 0, 1), ("g", 0, 3), ("g", 1, 3), ("g", 2, 3)]
     assert all(r["tie"] is None for r in got if r["grp"] == "g" and r["n"] < 2)
+
+
+def test_copies_of_the_right_side_are_never_broadcast_unseen(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "2MB")
+    try:
+        left = spark.range(1000, numPartitions=2).select((F.col("id") % 7).alias("k"), "id")
+        plan = keyed.lookup_join(left, spark.range(100_000).select(F.col("id").alias("k")), ["k"], "id")._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    asked = spark.createDataFrame([("r1", "s1", None), ("r2", "s1", "b"), ("r3", None, None)], "request_id string, study_uid string, series_uid string")
+    found = spark.createDataFrame([("s1", "a", 1), ("s1", "b", 2), (None, "c", 3)], "study_uid string, series_uid string, n int")
+    out = find.matched(asked, found, ["study_uid"], "series_uid")
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.request_id, r.n) for r in out.collect()) == [("r1", 1), ("r1", 2), ("r2", 2)]
