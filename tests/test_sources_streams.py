@@ -13,6 +13,7 @@ from test_deid import SAMPLE, SOP, elements
 
 import __spark_entry__  # noqa: F401
 from scanloom.operators import hl7
+from scanloom.plans import queries_deid, registry
 from scanloom.plans.registry import QUERIES
 from scanloom.sources import headerfiles, instances, messages, sinks
 from scanloom.streaming import flows
@@ -228,3 +229,28 @@ def test_stream_queries_read_tables_of_many_files(spark, tmp_path):
     spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
     out = {r.fragment_group: (r.fragment_count, r.state) for r in QUERIES["m3_defragmented_series"](spark, str(tmp_path)).collect()}
     assert out == {"0": (4, "OPEN"), "1": (3, "COMPLETE"), "2": (3, "COMPLETE"), "3": (4, "OPEN")}
+
+
+def orders(spark, folder, n):
+    row = ["id as o_orderkey", "id % 100 as o_custkey", "'F' as o_orderstatus", "cast(1 as double) as o_totalprice", "date'2020-01-02' as o_orderdate", "'1-URGENT' as o_orderpriority"]
+    spark.range(n, numPartitions=1).selectExpr(*row).write.parquet(f"{folder}/orders.parquet")
+
+
+def test_derived_tables_have_tasks_by_their_rows(spark, tmp_path):
+    orders(spark, tmp_path, 4 * registry.ROWS_A_TASK + 1)
+    for name in ("elements", "orm", "oru"):
+        assert registry.table(spark, str(tmp_path), name).rdd.getNumPartitions() == 5
+
+
+def test_clustered_tables_have_buckets_by_their_rows(spark, tmp_path, monkeypatch):
+    orders(spark, tmp_path, 100)
+    monkeypatch.setattr(queries_deid, "ROWS_A_TASK", 10)
+    out = QUERIES["e17_anonymise_clustered"](spark, str(tmp_path))
+    assert "out of 10" in out._jdf.queryExecution().executedPlan().toString() and out.count() == 100
+
+
+def test_documents_are_compressed_on_request(spark, tmp_path):
+    docs = spark.range(100).select(F.concat(F.lit("<a>"), F.col("id").cast("string"), F.lit("</a>")).alias("xml"))
+    sinks.write_documents(docs, f"{tmp_path}/d", "xml", compression="gzip")
+    assert all(p.name.endswith(".gz") for p in (tmp_path / "d").glob("part-*"))
+    assert sorted(r.value for r in spark.read.text(f"{tmp_path}/d").collect()) == sorted(r.xml for r in docs.collect())
