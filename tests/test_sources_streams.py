@@ -254,3 +254,12 @@ def test_documents_are_compressed_on_request(spark, tmp_path):
     sinks.write_documents(docs, f"{tmp_path}/d", "xml", compression="gzip")
     assert all(p.name.endswith(".gz") for p in (tmp_path / "d").glob("part-*"))
     assert sorted(r.value for r in spark.read.text(f"{tmp_path}/d").collect()) == sorted(r.xml for r in docs.collect())
+
+
+def test_many_small_files_are_read_in_few_tasks(spark, tmp_path, monkeypatch):
+    for n in range(300):
+        (tmp_path / f"{n}.dcm").write_bytes(part10(attribute("00080018", "UI", b"1.2")))
+    monkeypatch.setattr(headerfiles, "TASKS_A_CORE", 1)
+    df = headerfiles.read_headers(spark, str(tmp_path), ".dcm")
+    assert df.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert df.filter("tag = '00080018'").select("path").distinct().count() == 300
