@@ -242,3 +242,26 @@ def test_bucketed_tables_need_no_shuffle(spark, tmp_path):
     assert sorted(map(str, out.collect())) == sorted(map(str, D.anonymise(df, issuer="SITE").collect()))
     for name in ("clustered_elements", "clustered_index"):
         spark.sql(f"DROP TABLE {name}")
+
+
+def test_header_is_dealt_into_stated_tasks(spark):
+    """Instances go to as many tasks as asked for, not to the session's shuffle partitions, with the same rows."""
+    df = elements(spark, SAMPLE, "a").unionByName(elements(spark, SAMPLE[1:], "b")).unionByName(elements(spark, SAMPLE[:1], None))
+    plain, dealt = D.header_of(df), D.header_of(df, 13)
+    assert dealt.rdd.getNumPartitions() == 13
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect())) and dealt.count() == 2
+
+
+def test_rules_follow_the_tasks_of_the_header(spark):
+    header = D.header_of(elements(spark, SAMPLE), 13).withColumn("days", F.lit(None).cast("int"))
+    assert D.apply_rules(elements(spark, SAMPLE), header, D.ActionPlan.default()).rdd.getNumPartitions() == 13
+
+
+def test_tasks_of_registered_queries_grow_with_the_instances(spark, tmp_path, monkeypatch):
+    from scanloom.plans import queries_deid, registry
+
+    rows = spark.range(60).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "'F' AS o_orderstatus", "1.0D AS o_totalprice", "timestamp '2020-01-01' AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    rows.write.parquet(f"{tmp_path}/orders.parquet")
+    monkeypatch.setattr(registry, "INSTANCES_A_TASK", 5)
+    header = queries_deid._header(lambda name: registry.table(spark, str(tmp_path), name))
+    assert header.rdd.getNumPartitions() == 12 and header.count() == 60

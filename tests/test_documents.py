@@ -96,3 +96,12 @@ def test_xml_of_shared_prefix_items(spark):
     doc = json.loads(DOC.to_json_documents(elements(spark, deep)).first()["json"])
     assert [i["ConceptNameCodeSequence"]["Value"][0]["CodeValue"]["Value"] for i in doc["ContentSequence"]["Value"]] == [["x"], ["y"]]
     assert doc["Other"]["Value"] == ["z"] and F is not None
+
+
+def test_documents_in_stated_tasks(spark):
+    rows = [((), "0040A730", "ContentSequence", "SQ", []), ((A0,), "00080100", "CodeValue", "SH", ["x"]), ((A1,), "00080100", "CodeValue", "SH", ["y"]), ((), "0040A732", "Other", "LO", ["z"])]
+    df = elements(spark, rows, "a").unionByName(elements(spark, rows[::-1], "b"))
+    for build in (DOC.to_json_documents, DOC.to_xml_documents):
+        dealt = build(df, tasks=13)
+        assert dealt.rdd.getNumPartitions() == 13
+        assert sorted(map(tuple, dealt.collect())) == sorted(map(tuple, build(df).collect()))
