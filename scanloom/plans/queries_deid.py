@@ -13,7 +13,7 @@ from scanloom.operators import find, masking, packages
 from scanloom.operators import routing as R
 from scanloom.operators.keyed import in_tasks
 from scanloom.plans.derived import ATTRIBUTES
-from scanloom.plans.registry import ROWS_A_TASK, instance_tasks, query
+from scanloom.plans.registry import INSTANCES_A_TASK, ROWS_A_TASK, instance_tasks, query, spread
 from scanloom.plans.sqltext import blank, remapped, shifted, uuid_text
 from scanloom.session import checkpoint_root
 from scanloom.sources import instances
@@ -123,7 +123,7 @@ def _table(t):
 
 def _with_attributes(t):
     """Header with per-row pseudonym attributes, some of them invalid."""
-    keys = t("inst").select("sop_instance_uid", "o_orderkey", "o_custkey")
+    keys = spread(t("inst"), INSTANCES_A_TASK).select("sop_instance_uid", "o_orderkey", "o_custkey")
     k, c = F.col("o_orderkey") % 6, F.col("o_custkey")
     return (_header(t).join(keys, "sop_instance_uid")
             .withColumn("pseudonym_pid", F.when(k == 1, " ").otherwise(F.concat(F.lit("PS-"), c.cast("string")))).withColumn("pseudonym_name", F.concat(F.lit("PS^"), c.cast("string")))

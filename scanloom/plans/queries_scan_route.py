@@ -12,7 +12,7 @@ from scanloom.operators import documents, hl7, projections
 from scanloom.operators import routing as R
 from scanloom.plans import derived  # noqa: F401
 from scanloom.plans.derived import EVENT_TIME
-from scanloom.plans.registry import instance_tasks, query, spread
+from scanloom.plans.registry import INSTANCES_A_TASK, instance_tasks, query, spread
 from scanloom.plans.sqltext import blank, nested_document, uuid_text
 from scanloom.session import checkpoint_root
 from scanloom.sources import headerfiles, instances, messages, sinks
@@ -33,7 +33,7 @@ SELECT sop_instance_uid, sop_class_uid, study_uid, series_uid, CASE WHEN patient
   md5(study_uid) AS hex_study, md5(series_uid) AS hex_series, 'o' || CAST(o_orderkey AS STRING) || '.dcm' AS filename, 'application/dicom' AS mime_type, calling_aet, called_aet, transfer_syntax_uid,
   CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 3 END AS move_originator_message_id FROM inst""")
 def _(t):
-    arrivals = t("inst").select("sop_instance_uid", "transfer_syntax_uid", "calling_aet", "called_aet", F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("path"),
+    arrivals = spread(t("inst"), INSTANCES_A_TASK).select("sop_instance_uid", "transfer_syntax_uid", "calling_aet", "called_aet", F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("path"),
                                 F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_orderkey") % 3).alias("move_originator_message_id"))
     return instances.index_of(t("elements"), arrivals, instance_tasks(t)).select(
         "sop_instance_uid", "sop_class_uid", "study_uid", "series_uid", "patient_id", "modality", "hex_study", "hex_series", "filename", "mime_type", "calling_aet", "called_aet",

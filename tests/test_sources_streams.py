@@ -4,6 +4,7 @@ import datetime as dt
 import io
 import json
 import random
+import re
 import struct
 import zlib
 
@@ -242,6 +243,18 @@ def test_derived_tables_have_tasks_by_their_rows(spark, tmp_path):
         assert registry.table(spark, str(tmp_path), name).rdd.getNumPartitions() == 5
 
 
+def test_many_parts_are_dealt_without_holding_what_a_task_reads(spark, tmp_path, monkeypatch):
+    orders(spark, tmp_path, 6000)
+    monkeypatch.setattr(registry, "ROWS_A_TASK", 20)
+    for name in ("elements", "oru"):
+        rows = registry.table(spark, str(tmp_path), name)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        parts = [int(n) for n in re.findall(r"Exchange hashpartitioning\(_place#\d+L, (\d+)\)", plan)]
+        assert parts == [300, 200] and "RoundRobin" not in plan  # the task that reads writes 200 parts row by row, without a sort
+    sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
+    assert rows.distinct().count() == 6000 == sum(sizes) and max(sizes) < 60
+
+
 def test_clustered_tables_have_buckets_by_their_rows(spark, tmp_path, monkeypatch):
     orders(spark, tmp_path, 100)
     monkeypatch.setattr(queries_deid, "ROWS_A_TASK", 10)
