@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,7 @@ from pyspark.sql import types as T
 from scanloom.llm.base import BLOCK_BYTES, give_back, lists, map_texts
 
 KEPT_WORDS = 200_000
+_NONE = np.zeros(0, np.int64)
 
 
 # Fixed value: the pre-token pattern of the byte-level vocabularies, and the same for Python's own engine, which is
@@ -197,12 +199,57 @@ def read_ranks(raw: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(r) for token, r in (line.split() for line in raw.splitlines() if line)}
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def _encoder(ranks: dict[bytes, int], pattern: str, odd: str):
+    """Function from a list of texts (None for null) to an Arrow array of their ids."""
+    find = splitter(pattern, odd)
+    replay = MergeReplay(ranks)
+    known: dict[str, int] = {}
+    kept = pa.array([], pa.list_(pa.int32()))
+
+    def work(texts):
+        nonlocal known, kept
+        if len(known) > KEPT_WORDS:
+            known, kept = {}, kept[:0]
+        before = len(known)
+        # Words become numbers text by text, so that a block's words are not all held at once.
+        numbers = [np.array([known.setdefault(w, len(known)) for w in find(t)], np.int64) if t else _NONE for t in texts]
+        new = list(islice(known, before, None))
+        if new:
+            flat, counts = replay.encode([w.encode("utf-8") for w in new])
+            kept = pa.concat_arrays([kept, lists(flat.astype(np.int32), counts, pa.int32())])
+        ids = kept.take(pa.array(np.concatenate([_NONE, *numbers])))
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in numbers], dtype=np.int64)))
+        return pa.ListArray.from_arrays(ids.offsets.take(pa.array(ends)), ids.values)
+
+    return work
+
+
+def _decoder(ranks: dict[bytes, int]):
+    """Function from an Arrow array of ids to one of their bytes."""
+    of = [None] * (max(ranks.values()) + 1)
+    for token, r in ranks.items():
+        of[r] = token
+    of = pa.array(of, pa.binary())
+
+    def work(ids):
+        tokens = of.take(ids.flatten())
+        if tokens.null_count:
+            raise ValueError("ids that the rank file does not have")
+        ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))))
+        offsets = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset:][ends] if len(tokens) else np.zeros(len(ends), np.int32)
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets.astype(np.int32)), tokens.buffers()[2] or pa.py_buffer(b"")])
+
+    return work
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES, decoded: str | None = None) -> DataFrame:
     """Token ids (``ids`` array<int>) of each text, next to ``id_col`` and the columns ``keep``.
 
     ``ranks_path`` is a rank file (base64 token and rank per line), read once by the driver; its size does not
     depend on the corpus. Each match of ``pattern`` is encoded by itself; special tokens are ordinary text.
     Null or empty text: no ids. Repeated rows are encoded each. Other columns are ignored.
+    ``decoded`` names a column with what ``decode`` gives for the ids, made in the same task: a second operator would
+    hold a second Python worker for each task, and workers stay.
     """
     spark = docs.sparkSession
     with open(ranks_path, "rb") as f:
@@ -211,29 +258,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     odd = differing() if pattern == PATTERN else ""
 
     def make():
-        find = splitter(pattern, odd)
-        replay = MergeReplay(read_ranks(table.value))
-        known: dict[str, int] = {}
-        kept = pa.array([], pa.list_(pa.int32()))
+        ranks = read_ranks(table.value)
+        to_ids = _encoder(ranks, pattern, odd)
+        to_bytes = _decoder(ranks) if decoded else None
 
         def work(texts):
-            nonlocal known, kept
-            cut = [find(t) if t else [] for t in texts]
-            if len(known) > KEPT_WORDS:
-                known, kept = {}, kept[:0]
-            new = list({w for ws in cut for w in ws}.difference(known))
-            if new:
-                flat, counts = replay.encode([w.encode("utf-8") for w in new])
-                known.update(zip(new, range(len(known), len(known) + len(new))))
-                kept = pa.concat_arrays([kept, lists(flat.astype(np.int32), counts, pa.int32())])
-            numbers = np.fromiter((known[w] for ws in cut for w in ws), np.int64)
-            ids = kept.take(pa.array(numbers))
-            ends = np.concatenate(([0], np.cumsum([len(ws) for ws in cut])))
-            return [pa.ListArray.from_arrays(ids.offsets.take(pa.array(ends)), ids.values)]
+            ids = to_ids(texts)
+            return [ids, to_bytes(ids)] if to_bytes else [ids]
 
         return work
 
-    return map_texts(docs, text_col, [id_col, *keep], [T.StructField("ids", T.ArrayType(T.IntegerType()))], make, block_bytes)
+    fields = [T.StructField("ids", T.ArrayType(T.IntegerType())), *([T.StructField(decoded, T.BinaryType())] if decoded else [])]
+    return map_texts(docs, text_col, [id_col, *keep], fields, make, block_bytes)
 
 
 def decode(encoded: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id", "ids")) -> DataFrame:
@@ -244,20 +280,9 @@ def decode(encoded: DataFrame, ranks_path: str, keep: tuple[str, ...] = ("doc_id
     place = list(keep).index("ids")
 
     def run(batches):
-        ranks = read_ranks(table.value)
-        of = [None] * (max(ranks.values()) + 1)
-        for token, r in ranks.items():
-            of[r] = token
-        of = pa.array(of, pa.binary())
+        to_bytes = _decoder(read_ranks(table.value))
         for batch in batches:
-            ids = batch.column(place)
-            tokens = of.take(ids.flatten())
-            if tokens.null_count:
-                raise ValueError("ids that the rank file does not have")
-            ends = np.concatenate(([0], np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))))
-            offsets = np.frombuffer(tokens.buffers()[1], np.int32)[tokens.offset:][ends] if len(tokens) else np.zeros(len(ends), np.int32)
-            decoded = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, pa.py_buffer(offsets.astype(np.int32)), tokens.buffers()[2] or pa.py_buffer(b"")])
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], names=[f.name for f in schema])
+            yield pa.RecordBatch.from_arrays([*batch.columns, to_bytes(batch.column(place))], names=[f.name for f in schema])
         give_back()
 
     return encoded.select(*keep).mapInArrow(run, schema)

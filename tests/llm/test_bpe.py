@@ -27,6 +27,23 @@ def test_matches_library_and_round_trip(spark):
             assert bytes(r.decoded) == text.encode()
 
 
+def test_decoded_in_the_same_task(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, "null id"), (1, "a"), (1, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    apart = bpe.decode(bpe.encode(docs, PATH, P.PATTERN, block_bytes=1000), PATH)
+    for block_bytes in (1, 1000, bpe.BLOCK_BYTES):
+        whole = bpe.encode(docs, PATH, P.PATTERN, block_bytes=block_bytes, decoded="decoded")
+        assert whole.schema == apart.schema
+        assert whole.collect() == apart.collect()
+
+
+def test_words_kept_between_blocks(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
+    work = bpe._encoder(RANKS, P.PATTERN, bpe.differing())
+    for texts in ([None, "", "one two one"], ["two three four", "five"], ["one six two"], [], [None], ["one six two"]):
+        assert work(texts).to_pylist() == [ORACLE.encode_ordinary(t or "") for t in texts]
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert bpe.digests(bpe.decode(bpe.encode(docs, PATH, P.PATTERN), PATH)).collect() == []

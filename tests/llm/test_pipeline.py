@@ -104,3 +104,9 @@ def test_near_duplicates_by_row(spark):
     one_of += [r for r in got if r[0] == 20]
     rest = [(1, prose(1)), (None, prose(2)), (5, prose(5)), (7, prose(7)), (9, prose(9)), (9, prose(9)), (9, prose(10)), (None, prose(11)), (12, None), (None, ""), (None, ""), (12, " ")]
     assert [r[0] for r in one_of] == [None, 20] and sorted(map(repr, got)) == sorted(map(repr, rest + one_of))
+
+
+def test_encoding_holds_one_worker_for_each_task(spark, folder):
+    """Each Python operator of a stage holds a worker of its own for every task, and workers outlive the stage."""
+    plan = P.encode(spark, documents(spark, folder), folder)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
